@@ -185,11 +185,14 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BUILDERS = {
+    "bronze_sales_raw": bronze_sales,
+    "bronze_customers_raw": bronze_customers,
+    "bronze_inventory_raw": bronze_inventory,
+    "bronze_products_raw": bronze_products,
+    "bronze_stores_raw": bronze_stores,
+}
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "bronze_sales_raw": bronze_sales(spark, sf_dir),
-        "bronze_customers_raw": bronze_customers(spark, sf_dir),
-        "bronze_inventory_raw": bronze_inventory(spark, sf_dir),
-        "bronze_products_raw": bronze_products(spark, sf_dir),
-        "bronze_stores_raw": bronze_stores(spark, sf_dir),
-    }
+    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}

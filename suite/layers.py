@@ -1,10 +1,13 @@
-"""Silver and gold frames over the given tables, lazily."""
+"""Layer tables over the given tables, each built when it is first asked for."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from suite import feed
+from tallyhouse import schemas
 from tallyhouse import settings as S
 from tallyhouse.operators import cleansing, star
 
@@ -12,23 +15,42 @@ from tallyhouse.operators import cleansing, star
 SCALED_RFM = S.RfmThresholds(
     champion_spend=2_500_000, loyal_spend=2_000_000, potential_spend=1_500_000, risk_spend=1_000_000
 )
+_ORDERS = {
+    "silver_sales": feed.SALES_ORDER,
+    "silver_customers": feed.CUSTOMER_ORDER,
+    "silver_products": feed.PRODUCT_ORDER,
+    "silver_stores": feed.STORE_ORDER,
+    "silver_inventory": feed.INVENTORY_ORDER,
+}
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = feed.bronze(spark, sf_dir)
-    return {
-        "silver_sales": cleansing.silver_sales(raw["bronze_sales_raw"], feed.SALES_ORDER),
-        "silver_customers": cleansing.silver_customers(raw["bronze_customers_raw"], feed.CUSTOMER_ORDER),
-        "silver_products": cleansing.silver_products(raw["bronze_products_raw"], feed.PRODUCT_ORDER),
-        "silver_stores": cleansing.silver_stores(raw["bronze_stores_raw"], feed.STORE_ORDER),
-        "silver_inventory": cleansing.silver_inventory(raw["bronze_inventory_raw"], feed.INVENTORY_ORDER),
-    }
+class Layers(Mapping[str, DataFrame]):
+    """Name -> frame for all bronze, silver and gold tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._built: dict[str, DataFrame] = {}
+        self._builders: dict[str, Callable[[], DataFrame]] = {}
+        for name, build in feed.BUILDERS.items():
+            self._builders[name] = lambda build=build: build(spark, sf_dir)
+        for name, (source, clean) in cleansing.SILVER_BUILDERS.items():
+            self._builders[name] = lambda n=name, s=source, c=clean: c(self[s], _ORDERS[n])
+        for name, build in star.GOLD_BUILDERS.items():
+            self._builders[name] = lambda build=build: build(self, SCALED_RFM)
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
 
-def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star.build_gold(silver(spark, sf_dir), SCALED_RFM)
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
 
+    def __len__(self) -> int:
+        return len(self._builders)
 
-def everything(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    layers = silver(spark, sf_dir)
-    return {**feed.bronze(spark, sf_dir), **layers, **star.build_gold(layers, SCALED_RFM)}
+    def only(self, names: tuple[str, ...]) -> dict[str, DataFrame]:
+        return {n: self[n] for n in names}
+
+
+def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return Layers(spark, sf_dir).only(schemas.SILVER_TABLES)

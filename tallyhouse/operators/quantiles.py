@@ -1,16 +1,17 @@
 """Exact quantiles that never gather a column in one task.
 
 Small columns (a counted, bounded number of values) use the built-in exact percentile. Larger ones are
-narrowed: each pass asks a mergeable sketch for two edges around the wanted rank and counts the rows
-below them exactly; only what lies strictly between the edges goes on. A value that fills a large part
-of the column ends the search at once, because the counts show the wanted rank to be that value.
+narrowed: a pass asks mergeable sketches for two edges around each wanted rank, a second pass counts the
+rows at and below those edges exactly, and only what lies strictly between them goes on. A value that
+fills a large part of the column ends the search at once, because the counts show the wanted rank to be
+that value. All columns and ranks share the passes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,69 +28,110 @@ def quantiles(
     The driver receives counts and edges only. The input is scanned a few times: stage it when it is
     expensive to compute.
     """
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    counts = values.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(columns))]).first()
-    small = [i for i in range(len(columns)) if counts[i] <= limit]
-    result: dict[str, list[float | None]] = {}
+    names = [f"v{i}" for i in range(len(columns))]
+    values = df.select(*[F.col(c).cast("double").alias(v) for c, v in zip(columns, names)])
+    counts = values.agg(*[F.count(v).alias(v) for v in names]).first()
+    found: dict[str, list[float | None]] = {}
+    small = [v for v in names if counts[v] <= limit]
     if small:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(f"v{i}", wanted).alias(f"v{i}") for i in small]).first()
-        for i in small:
-            result[columns[i]] = list(row[f"v{i}"]) if row[f"v{i}"] is not None else [None] * len(probabilities)
-    for i, column in enumerate(columns):
-        if i not in small:
-            result[column] = _large_column(values.select(F.col(f"v{i}").alias("v")), counts[i], probabilities, limit)
-    return {c: result[c] for c in columns}
+        row = values.agg(*[F.percentile(v, wanted).alias(v) for v in small]).first()
+        found = {v: list(row[v] or [None] * len(probabilities)) for v in small}
+    large = {v: counts[v] for v in names if v not in small}
+    if large:
+        found |= _interpolated(values, large, probabilities, limit)
+    return {c: found[v] for c, v in zip(columns, names)}
 
 
-def _large_column(values: DataFrame, n: int, probabilities: Sequence[float], limit: int) -> list[float]:
-    positions = [(n - 1) * p for p in probabilities]
-    ranks = sorted({r for x in positions for r in (math.floor(x), math.ceil(x))})
-    at = {r: value_at_rank(values, r, n, limit) for r in ranks}
-    return [at[math.floor(x)] + (at[math.ceil(x)] - at[math.floor(x)]) * (x - math.floor(x)) for x in positions]
+def _interpolated(
+    values: DataFrame, counts: dict[str, int], probabilities: Sequence[float], limit: int
+) -> dict[str, list[float]]:
+    wanted = {v: [(n - 1) * p for p in probabilities] for v, n in counts.items()}
+    ranks = {v: sorted({(math.floor(x), math.ceil(x)) for x in xs}) for v, xs in wanted.items()}
+    at = values_at_ranks(values, counts, ranks, limit)
+
+    def between(v: str, x: float) -> float:
+        low, high = at[v, math.floor(x)], at[v, math.ceil(x)]
+        return low + (high - low) * (x - math.floor(x))
+
+    return {v: [between(v, x) for x in xs] for v, xs in wanted.items()}
 
 
 @dataclass
-class _Bracket:
-    """Open interval that holds the wanted rank, with the exact row counts around it."""
+class _Search:
+    """Neighbouring ranks of one column and the open interval that still holds them."""
 
-    low: float | None
-    high: float | None
-    below: int
+    column: str
+    ranks: list[int]
     inside: int
-
-    def rows(self) -> Column:
-        test = F.col("v").isNotNull()
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    margin: float = 4.0 / SKETCH_ACCURACY
+    edges: tuple[float, float] = field(default=(0.0, 0.0))
+
+    def held(self) -> Column:
+        """The column's value where it lies in the interval, else NULL."""
+        v = F.col(self.column)
+        test = v.isNotNull()
         if self.low is not None:
-            test = test & (F.col("v") > self.low)
+            test = test & (v > self.low)
         if self.high is not None:
-            test = test & (F.col("v") < self.high)
-        return test
-
-
-def value_at_rank(values: DataFrame, rank: int, n: int, limit: int = GATHER_LIMIT) -> float:
-    """Value at a zero-based rank of column ``v`` in ascending order, exactly."""
-    bracket, margin = _Bracket(None, None, 0, n), 4.0 / SKETCH_ACCURACY
-    while bracket.inside > limit:
-        inside = values.filter(bracket.rows())
-        share = (rank - bracket.below) / bracket.inside
-        ends = [max(0.0, share - margin), min(1.0, share + margin)]
-        a, b = inside.agg(F.percentile_approx("v", ends, SKETCH_ACCURACY).alias("e")).first()["e"]
-        v = F.col("v")
-        seen = inside.agg(
-            F.count_if(v < a), F.count_if(v <= a), F.count_if(v < b), F.count_if(v <= b)
+            test = test & (v < self.high)
+        return F.when(test, v)
+
+    def shares(self) -> list[float]:
+        first = (min(self.ranks) - self.below) / self.inside - self.margin
+        last = (max(self.ranks) - self.below) / self.inside + self.margin
+        return [max(0.0, first), min(1.0, last)]
+
+    def narrow(self, counted: Sequence[int]) -> dict[tuple[str, int], float]:
+        """Take the exact counts around the edges; returns the ranks they settle."""
+        (a, b), (lt_a, le_a, lt_b, le_b) = self.edges, (self.below + n for n in counted)
+        if min(self.ranks) < lt_a or max(self.ranks) >= le_b:
+            self.margin = min(1.0, self.margin * 4)  # the sketch missed: look wider
+            return {}
+        settled = {r: a for r in self.ranks if r < le_a} | {r: b for r in self.ranks if r >= lt_b}
+        self.ranks = [r for r in self.ranks if r not in settled]
+        self.low, self.high, self.below, self.inside = a, b, le_a, lt_b - le_a
+        return {(self.column, r): value for r, value in settled.items()}
+
+
+def values_at_ranks(
+    values: DataFrame, counts: dict[str, int], ranks: dict[str, list[tuple[int, ...]]], limit: int = GATHER_LIMIT
+) -> dict[tuple[str, int], float]:
+    """Exact value at zero-based ascending ranks, for groups of neighbouring ranks per column."""
+    searches = [_Search(v, sorted(set(group)), counts[v]) for v, groups in ranks.items() for group in groups]
+    found: dict[tuple[str, int], float] = {}
+    while wide := [s for s in searches if s.ranks and s.inside > limit]:
+        sketched = values.agg(
+            *[F.percentile_approx(s.held(), s.shares(), SKETCH_ACCURACY).alias(f"e{i}") for i, s in enumerate(wide)]
+        ).first()
+        for i, search in enumerate(wide):
+            search.edges = tuple(sketched[f"e{i}"])
+        counted = values.agg(
+            *[F.count_if(test) for s in wide for edge in s.edges for test in (s.held() < edge, s.held() <= edge)]
         ).first()
-        lt_a, le_a, lt_b, le_b = (bracket.below + count for count in seen)
-        if rank < lt_a or rank >= le_b:
-            margin = min(1.0, margin * 4)  # the sketch missed: look wider
-        elif rank < le_a:
-            return a
-        elif rank >= lt_b:
-            return b
-        else:
-            bracket = _Bracket(a, b, le_a, lt_b - le_a)
-    # A bounded rest: equal values are merged before the running total.
-    merged = values.filter(bracket.rows()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    running = F.sum("n").over(Window.orderBy("v"))
-    found = merged.withColumn("upto", running).filter(F.col("upto") > rank - bracket.below)
-    return found.agg(F.min("v")).first()[0]
+        for i, search in enumerate(wide):
+            found |= search.narrow(counted[4 * i : 4 * i + 4])
+    rest = [s for s in searches if s.ranks]
+    return found | (_gathered(values, rest) if rest else {})
+
+
+def _gathered(values: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], float]:
+    """Settle ranks in intervals of bounded size: equal values are merged before the running total."""
+    entries = [
+        F.when(s.held().isNotNull(), F.struct(F.lit(i).alias("search"), s.held().alias("v")))
+        for i, s in enumerate(searches)
+    ]
+    merged = values.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("search", "v").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    running = merged.withColumn("upto", F.sum("n").over(Window.partitionBy("search").orderBy("v")))
+    wanted = [
+        (i, r, F.min(F.when((F.col("search") == i) & (F.col("upto") > r - s.below), F.col("v"))))
+        for i, s in enumerate(searches)
+        for r in s.ranks
+    ]
+    row = running.agg(*[value for _, _, value in wanted]).first()
+    return {(searches[i].column, r): row[k] for k, (i, r, _) in enumerate(wanted)}

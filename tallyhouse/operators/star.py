@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,20 +171,17 @@ def category_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def build_gold(silver: Tables, thresholds: S.RfmThresholds = S.RfmThresholds()) -> dict[str, DataFrame]:
-    """All gold frames over silver frames, lazily."""
-    sales, products = silver["silver_sales"], silver["silver_products"]
-    fact = fact_sales(sales, products)
-    return {
-        "dim_products": dim_products(products),
-        "dim_stores": dim_stores(silver["silver_stores"]),
-        "dim_customers": dim_customers(silver["silver_customers"], sales, thresholds),
-        "dim_date": dim_date_of(sales),
-        "fact_sales": fact,
-        "fact_inventory_snapshot": fact_inventory_snapshot(silver["silver_inventory"], products),
-        "gold_daily_sales_summary": daily_sales_summary(fact),
-        "gold_category_performance": category_performance(fact, products),
-    }
+# Table -> function of (all layer tables, segment thresholds). Gold tables may use other gold tables.
+GOLD_BUILDERS: dict[str, Callable[[Tables, S.RfmThresholds], DataFrame]] = {
+    "dim_products": lambda t, _: dim_products(t["silver_products"]),
+    "dim_stores": lambda t, _: dim_stores(t["silver_stores"]),
+    "dim_customers": lambda t, limits: dim_customers(t["silver_customers"], t["silver_sales"], limits),
+    "dim_date": lambda t, _: dim_date_of(t["silver_sales"]),
+    "fact_sales": lambda t, _: fact_sales(t["silver_sales"], t["silver_products"]),
+    "fact_inventory_snapshot": lambda t, _: fact_inventory_snapshot(t["silver_inventory"], t["silver_products"]),
+    "gold_daily_sales_summary": lambda t, _: daily_sales_summary(t["fact_sales"]),
+    "gold_category_performance": lambda t, _: category_performance(t["fact_sales"], t["silver_products"]),
+}
 
 
 # --- checks and summaries ---------------------------------------------------------------------

@@ -122,23 +122,14 @@ def validation_log(
 
 
 def full_validation_log(
-    bronze_sales: DataFrame,
-    bronze_customers: DataFrame,
-    batch_id: str,
-    moment: datetime,
-    sales_order: Sequence[str | Column] = ("row_seq",),
-    customer_order: Sequence[str | Column] = ("row_seq",),
+    sales: DataFrame, customers: DataFrame, batch_id: str, moment: datetime
 ) -> DataFrame:
-    sales = validation_log(sales_metrics(bronze_sales, sales_order), "sales", SALES_RULES, batch_id, moment)
-    customers = validation_log(
-        customer_metrics(bronze_customers, customer_order),
-        "customers",
-        CUSTOMER_RULES,
-        batch_id,
-        moment,
-        first_seq=len(SALES_RULES),
+    """The batch's audit rows from the metrics of both datasets."""
+    first = validation_log(sales, "sales", SALES_RULES, batch_id, moment)
+    second = validation_log(
+        customers, "customers", CUSTOMER_RULES, batch_id, moment, first_seq=len(SALES_RULES)
     )
-    return sales.unionByName(customers)
+    return first.unionByName(second)
 
 
 def latest_validation_logs(log: DataFrame, n: int = 50) -> DataFrame:
