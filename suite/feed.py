@@ -23,6 +23,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def read_lines(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """Order lines, pruned to some columns.
+
+    The given table may be one file that only one task can scan. Where it has fewer files than the
+    session has cores, the rows are spread by order; a table of many files is left as it is.
+    """
+    lines = read(spark, sf_dir, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    few_files = len(lines.inputFiles()) < cores
+    lines = lines.select(*columns)
+    return lines.repartition(cores, "l_orderkey") if few_files else lines
+
+
 def _cents(value: Column) -> Column:
     return (F.floor(value * 100 + 0.5) / 100).cast("decimal(12,2)")
 
@@ -32,8 +45,9 @@ def _line_price() -> Column:
 
 
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+    line = read_lines(
+        spark, sf_dir,
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
     )
     order = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     method = F.element_at(
@@ -131,7 +145,7 @@ def bronze_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw record per order line, so that pairs repeat; the earliest restock is the first."""
     p, s = F.col("l_partkey"), F.col("l_suppkey")
-    return read(spark, sf_dir, "lineitem").select(
+    return read_lines(spark, sf_dir, "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate").select(
         p.alias("product_id"),
         s.alias("store_id"),
         ((p * 7 + s * 13) % 251).cast("int").alias("stock_on_hand"),
@@ -143,7 +157,8 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines as text, with ``row_seq`` from the position in the file."""
-    line = read(spark, sf_dir, "lineitem").select(
+    line = read_lines(
+        spark, sf_dir,
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
         F.col("_metadata.row_index").alias("row_seq"),
     )

@@ -44,11 +44,15 @@ def mean_amount(value: Column) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    """Text to double, NULL for anything that is not a finite plain number.
+    """Text to double, NULL for anything that is not a plain number.
 
     A trailing letter covers what the cast would still accept: type suffixes such as ``1.0d`` and
     the words ``NaN`` and ``inf``.
     """
     text = text.cast("string")
-    parsed = F.when(~text.rlike(r"[A-Za-z]\s*$"), text.try_cast("double"))
-    return F.when(F.abs(parsed) <= F.lit(1.7976931348623157e308), parsed)
+    return F.when(~text.rlike(r"[A-Za-z]\s*$"), text.try_cast("double"))
+
+
+def finite(value: Column) -> Column:
+    """NULL in place of an infinite value (a text such as ``1e999``)."""
+    return F.when(F.abs(value) <= F.lit(1.7976931348623157e308), value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
@@ -21,14 +21,15 @@ def missing_description() -> Column:
     return is_blank(F.col("Description"))
 
 
-def negative_quantity() -> Column:
-    quantity = parse_number(F.col("Quantity"))
+def negative_quantity(quantity: Column | None = None) -> Column:
+    """``quantity`` may pass the parsed number in, so that it is not parsed again."""
+    quantity = parse_number(F.col("Quantity")) if quantity is None else quantity
     cancelled = F.coalesce(F.startswith("InvoiceNo", F.lit(S.CANCELLATION_PREFIX)), F.lit(False))
     return quantity.isNull() | ((quantity < 0) & ~cancelled)
 
 
-def bad_unit_price() -> Column:
-    price = parse_number(F.col("UnitPrice"))
+def bad_unit_price(price: Column | None = None) -> Column:
+    price = parse_number(F.col("UnitPrice")) if price is None else price
     return price.isNull() | (price <= 0) | (price > S.MAX_LINE_PRICE)
 
 
@@ -60,6 +61,15 @@ LINE_RULES = {
 }
 
 
-def violated_rules() -> Column:
-    """Array of the labels a row violates."""
-    return F.array_compact(F.array(*[F.when(rule(), F.lit(label)) for label, rule in LINE_RULES.items()]))
+PARSED = {"_quantity": "Quantity", "_price": "UnitPrice"}
+
+
+def with_parsed(lines: DataFrame) -> DataFrame:
+    """Parse the numbers once, ahead of the rules that use them several times."""
+    return lines.withColumns({name: parse_number(F.col(text)) for name, text in PARSED.items()})
+
+
+def tests_on_parsed() -> dict[str, Column]:
+    """Label -> predicate over a frame that went through ``with_parsed``."""
+    parsed = {S.NEGATIVE_QUANTITY: negative_quantity(F.col("_quantity")), S.BAD_PRICE: bad_unit_price(F.col("_price"))}
+    return {label: parsed[label] if label in parsed else rule() for label, rule in LINE_RULES.items()}

@@ -27,19 +27,26 @@ def count_distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
-def later_copies(df: DataFrame, keys: Sequence[str], seq: str, flag: str) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """Keys that occur more than once (as ``_k0``, ``_k1``, ...) with their first position ``_first``."""
+    return (
+        df.groupBy(*keys)
+        .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
+    )
+
+
+def later_copies(
+    df: DataFrame, keys: Sequence[str], seq: str, flag: str, repeats: DataFrame | None = None
+) -> DataFrame:
     """Boolean column: true on the second and later occurrence of a key in ``seq`` order, NULLs equal.
 
     Every row stays, so a window would gather a hot key in one task. Instead the first position of
     each *repeated* key is found with a map-side aggregate and joined back: usually a small side,
     otherwise a shuffled join whose hot partitions the adaptive plan splits.
     """
-    firsts = (
-        df.groupBy(*keys)
-        .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first")
-    )
+    firsts = repeated_keys(df, keys, seq) if repeats is None else repeats
     same_key = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     joined = df.join(firsts, same_key, "left")
     is_copy = F.coalesce(F.col(seq) > F.col("_first"), F.lit(False))

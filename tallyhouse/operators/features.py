@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
-from tallyhouse.functions.numbers import parse_number, safe_ratio
+from tallyhouse.functions.numbers import finite, parse_number, safe_ratio
 from tallyhouse.functions.text import strip
 from tallyhouse.operators.quantiles import quantiles
 
@@ -19,10 +19,11 @@ _EXACT = "decimal(30,6)"
 
 def coerce_numeric(lines: DataFrame) -> DataFrame:
     """Quantity and UnitPrice as doubles; unreadable texts become 1.0 and 0.0."""
-    return lines.withColumns(
+    parsed = lines.withColumns({c: parse_number(F.col(c)) for c in ("Quantity", "UnitPrice")})
+    return parsed.withColumns(
         {
-            "Quantity": F.coalesce(parse_number(F.col("Quantity")), F.lit(1.0)),
-            "UnitPrice": F.coalesce(parse_number(F.col("UnitPrice")), F.lit(0.0)),
+            "Quantity": F.coalesce(finite(F.col("Quantity")), F.lit(1.0)),
+            "UnitPrice": F.coalesce(finite(F.col("UnitPrice")), F.lit(0.0)),
         }
     )
 
@@ -39,37 +40,54 @@ def country_key() -> Column:
     return F.upper(strip(F.coalesce(F.col("Country"), F.lit(S.UNKNOWN_COUNTRY))))
 
 
-def customer_features(lines: DataFrame) -> DataFrame:
-    """Line count, spend and mean amount per customer, joined back to the lines.
+def customer_stats(amounts: DataFrame) -> DataFrame:
+    """Line count, spend and mean amount per customer; anonymous lines share one key.
 
-    Anonymous lines share one key and can be most of the data. The aggregate combines before its
-    shuffle; in the join back the adaptive plan either broadcasts the aggregate, when its measured
-    size allows, or splits the hot partition of the lines.
+    The aggregate combines before its shuffle, so a key with most of the lines is no heavier.
     """
     amount = F.col("TotalAmount").try_cast(_EXACT)
-    stats = lines.groupBy(customer_key().alias("_customer")).agg(
-        F.count("TotalAmount").alias("CustomerPurchaseFrequency"), F.sum(amount).alias("_spend")
+    stats = amounts.groupBy(customer_key().alias("_customer")).agg(
+        F.count("TotalAmount").alias("_lines"), F.sum(amount).alias("_spend")
     )
-    stats = stats.select(
+    return stats.select(
         "_customer",
-        F.col("CustomerPurchaseFrequency").cast("double").alias("CustomerPurchaseFrequency"),
+        F.col("_lines").cast("double").alias("CustomerPurchaseFrequency"),
         F.col("_spend").cast("double").alias("CustomerTotalSpend"),
-        safe_ratio(F.col("_spend"), F.col("CustomerPurchaseFrequency")).alias("AverageTransactionValue"),
+        safe_ratio(F.col("_spend"), F.col("_lines")).alias("AverageTransactionValue"),
     )
-    return lines.join(stats, customer_key() == F.col("_customer"), "left").drop("_customer")
 
 
-def country_feature(lines: DataFrame) -> DataFrame:
-    """Number of lines with an invoice number per normalised country, joined back to the lines."""
-    counts = lines.groupBy(country_key().alias("_country")).agg(
+def country_stats(lines: DataFrame) -> DataFrame:
+    """Number of lines with an invoice number per normalised country."""
+    return lines.groupBy(country_key().alias("_country")).agg(
         F.count("InvoiceNo").cast("double").alias("CountryTransactionCount")
     )
-    return lines.join(counts, country_key() == F.col("_country"), "left").drop("_country")
 
 
-def line_features(lines: DataFrame) -> DataFrame:
+def customer_features(amounts: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Customer statistics joined back to the lines.
+
+    The adaptive plan broadcasts the statistics when their size allows and otherwise splits the hot
+    partitions of the lines. Passing a staged ``customer_stats`` lets it decide before any shuffle.
+    """
+    stats = customer_stats(amounts) if stats is None else stats
+    return amounts.join(stats, customer_key() == F.col("_customer"), "left").drop("_customer")
+
+
+def country_feature(lines: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    stats = country_stats(lines) if stats is None else stats
+    return lines.join(stats, country_key() == F.col("_country"), "left").drop("_country")
+
+
+def line_amounts(lines: DataFrame) -> DataFrame:
+    return with_total_amount(coerce_numeric(lines))
+
+
+def line_features(
+    lines: DataFrame, customers: DataFrame | None = None, countries: DataFrame | None = None
+) -> DataFrame:
     """All seven feature columns next to the line's own columns."""
-    return country_feature(customer_features(with_total_amount(coerce_numeric(lines))))
+    return country_feature(customer_features(line_amounts(lines), customers), countries)
 
 
 def impute_median(df: DataFrame, columns: Sequence[str] = S.FEATURES, **options: int) -> DataFrame:

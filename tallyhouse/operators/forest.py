@@ -130,14 +130,18 @@ class ForestModel:
         self.trees = int(nodes["tree"].max()) + 1
         self.sample_size = int(nodes.loc[nodes["node"] == 0, "sample_size"].max())
         self.height = int(nodes["depth"].max())
-        shape = (self.trees, 2 ** (self.height + 1) - 1)
-        self.feature = np.full(shape, -1, dtype=np.int16)
-        self.split = np.zeros(shape)
-        self.path = np.zeros(shape, dtype=np.int64)
+        slots = 2 ** (self.height + 1) - 1
         at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-        self.feature[at] = nodes["feature"].to_numpy()
-        self.split[at] = nodes["split"].fillna(0.0).to_numpy()
+        inner = nodes["feature"].to_numpy() >= 0
+        # Leaves lead back to themselves, so every walk takes the same number of steps.
+        self.feature = np.zeros((self.trees, slots), dtype=np.int64)
+        self.split = np.full((self.trees, slots), np.inf)
+        self.path = np.zeros((self.trees, slots), dtype=np.int64)
+        self.left = np.tile(np.arange(slots), (self.trees, 1))
+        self.feature[at] = np.where(inner, nodes["feature"].to_numpy(), 0)
+        self.split[at] = np.where(inner, nodes["split"].to_numpy(dtype="float64"), np.inf)
         self.path[at] = nodes["path_nano"].fillna(0).to_numpy(dtype=np.int64)
+        self.left[at] = np.where(inner, 2 * at[1] + 1, at[1])
 
     @classmethod
     def collect(cls, nodes: DataFrame, columns: Sequence[str] = S.FEATURES) -> ForestModel:
@@ -147,14 +151,14 @@ class ForestModel:
     def path_sums(self, points: np.ndarray) -> np.ndarray:
         """Sum over the trees of each row's path length, in billionths (an exact integer)."""
         total = np.zeros(len(points), dtype=np.int64)
-        rows = np.arange(len(points))
-        for feature, split, path in zip(self.feature, self.split, self.path):
+        flat = np.ascontiguousarray(points).ravel()
+        first = np.arange(len(points)) * points.shape[1]
+        for feature, split, left, path in zip(self.feature, self.split, self.left, self.path):
             node = np.zeros(len(points), dtype=np.int64)
             for _ in range(self.height):
-                f = feature[node]
-                right = points[rows, f] > split[node]
-                node = np.where(f >= 0, 2 * node + 1 + right, node)
-            total += path[node]
+                value = flat.take(first + feature.take(node))
+                node = left.take(node) + (value > split.take(node))
+            total += path.take(node)
         return total
 
 

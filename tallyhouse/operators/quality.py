@@ -6,29 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
-from tallyhouse.functions.rules import LINE_RULES, violated_rules
-from tallyhouse.operators.dedup import later_copies
+from tallyhouse.functions.rules import PARSED, tests_on_parsed, with_parsed
+from tallyhouse.operators.dedup import later_copies, repeated_keys
 
 
 def with_reasons(lines: DataFrame) -> DataFrame:
-    """Array column ``dq_reasons`` of the per-row rules; one projection."""
-    return lines.withColumn("dq_reasons", violated_rules())
+    """Array column ``dq_reasons`` of the per-row rules.
+
+    NULL slots are dropped with ``array_except``, which unlike a lambda stays in generated code.
+    """
+    labels = F.array(*[F.when(test, F.lit(label)) for label, test in tests_on_parsed().items()])
+    reasons = F.array_except(labels, F.array(F.lit(None).cast("string")))
+    return with_parsed(lines).withColumn("dq_reasons", reasons).drop(*PARSED)
 
 
-def flag_duplicates(lines: DataFrame, seq: str = "row_seq") -> DataFrame:
-    """Boolean ``is_duplicate``: a later copy of (invoice, stock code, date)."""
-    return later_copies(lines, S.DUPLICATE_KEYS, seq, "is_duplicate")
+def repeated_lines(lines: DataFrame, seq: str = "row_seq") -> DataFrame:
+    """(invoice, stock code, date) keys that occur more than once, with their first position."""
+    return repeated_keys(lines, S.DUPLICATE_KEYS, seq)
 
 
-def dq_flag(lines: DataFrame, seq: str = "row_seq") -> DataFrame:
+def flag_duplicates(lines: DataFrame, seq: str = "row_seq", repeats: DataFrame | None = None) -> DataFrame:
+    """Boolean ``is_duplicate``: a later copy of (invoice, stock code, date).
+
+    ``repeats`` passes a staged ``repeated_lines`` in; its known size then lets the lines stay unshuffled.
+    """
+    return later_copies(lines, S.DUPLICATE_KEYS, seq, "is_duplicate", repeats)
+
+
+def dq_flag(lines: DataFrame, seq: str = "row_seq", repeats: DataFrame | None = None) -> DataFrame:
     """``dq_issue_flag`` and ``dq_issue_reason`` (NULL when clean) over all seven rules."""
-    flagged = with_reasons(flag_duplicates(lines, seq))
-    every = F.concat("dq_reasons", F.when(F.col("is_duplicate"), F.array(F.lit(S.DUPLICATE_ROW))).otherwise(
-        F.array().cast("array<string>")))
-    flag = F.size(every) > 0
+    tests = {**tests_on_parsed(), S.DUPLICATE_ROW: F.col("is_duplicate")}
+    why = F.concat_ws(", ", *[F.when(test, F.lit(label)) for label, test in tests.items()])
+    flagged = with_parsed(flag_duplicates(lines, seq, repeats)).withColumn("_why", why)
+    flag = F.col("_why") != ""
     return flagged.withColumns(
-        {"dq_issue_flag": flag, "dq_issue_reason": F.when(flag, F.array_join(every, ", "))}
-    )
+        {"dq_issue_flag": flag, "dq_issue_reason": F.when(flag, F.col("_why"))}
+    ).drop(*PARSED, "_why", "is_duplicate")
 
 
 def dq_issue_list(lines: DataFrame, seq: str = "row_seq") -> DataFrame:
@@ -50,11 +63,11 @@ def dq_rule_breakdown(lines: DataFrame, include_duplicates: bool = False, seq: s
 
     ``include_duplicates`` adds the duplicate rule, which the plain breakdown leaves out.
     """
-    tests = {label: rule() for label, rule in LINE_RULES.items()}
+    tests = tests_on_parsed()
     if include_duplicates:
         lines = flag_duplicates(lines, seq)
         tests[S.DUPLICATE_ROW] = F.col("is_duplicate")
-    counted = lines.agg(*[F.count_if(test).alias(f"c{i}") for i, test in enumerate(tests.values())])
+    counted = with_parsed(lines).agg(*[F.count_if(test).alias(f"c{i}") for i, test in enumerate(tests.values())])
     entries = [
         F.struct(F.lit(label).alias("rule"), F.col(f"c{i}").alias("row_count")) for i, label in enumerate(tests)
     ]

@@ -22,18 +22,23 @@ class ModelSettings:
 def score_lines(lines: DataFrame, model_settings: ModelSettings = ModelSettings()) -> DataFrame:
     """Every line with quality flag, features, path sum and raw score; nothing is filtered out.
 
-    Fitting reads a pruned scan: the sampling filter sits below the joins that attach the features.
+    The statistics that are joined back to the lines are staged first: fitting and scoring share them,
+    and their known sizes decide between broadcast and shuffle before any line moves. Fitting reads a
+    sample only, as the sampling filter sits below the joins.
     """
-    featured = features.line_features(lines)
+    customers = stage(features.customer_stats(features.line_amounts(lines)), "customers")
+    countries = stage(features.country_stats(lines), "countries")
+    repeats = stage(quality.repeated_lines(lines), "repeats")
     nodes = forest.fit_isolation_forest(
-        featured,
+        features.line_features(lines, customers, countries),
         n_estimators=model_settings.n_estimators,
         seed=model_settings.seed,
         max_samples=model_settings.max_samples,
         n_rows=lines.count(),
     )
     model = forest.ForestModel.collect(nodes)
-    return forest.score_forest(features.line_features(quality.dq_flag(lines)), model)
+    flagged = quality.dq_flag(lines, repeats=repeats)
+    return forest.score_forest(features.line_features(flagged, customers, countries), model)
 
 
 def classify_lines(scored: DataFrame, contamination: float = S.CONTAMINATION) -> DataFrame:
