@@ -265,8 +265,8 @@ _F = [f"f{i}" for i in range(len(S.FEATURES))]
 _FS = ", ".join(_F)
 
 
-def _unit(text: str, start: int = 1) -> str:
-    return f"CAST(CAST('0x' || substr(md5({text}), {start}, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
+def _unit(text: str, digits: int = 12, start: int = 1) -> str:
+    return f"CAST(CAST('0x' || substr(md5({text}), {start}, {digits}) AS BIGINT) AS DOUBLE) / {16**digits}.0"
 
 
 def _nth(values: list[str], index: str) -> str:
@@ -302,8 +302,8 @@ FROM (SELECT *, {_nth(lows, 'feature + 1')} AS lo, {_nth(highs, 'feature + 1')}
   SELECT *, CASE WHEN {level} = {HEIGHT} OR size <= 1 OR len(open) = 0 THEN -1
       ELSE open[CAST(floor(pick * len(open)) AS BIGINT) + 1] END AS feature
   FROM (SELECT *, [i for i in range({len(_F)}) if [{', '.join(highs)}][i + 1] > [{', '.join(lows)}][i + 1]] AS open,
-      {_unit(f"'{seed}|' || tree || '|' || node || '|node'")} AS pick,
-      {_unit(f"'{seed}|' || tree || '|' || node || '|node'", 9)} AS cut
+      {_unit(f"'{seed}|' || tree || '|' || node || '|node'", 8)} AS pick,
+      {_unit(f"'{seed}|' || tree || '|' || node || '|node'", 8, 9)} AS cut
     FROM (SELECT tree, node, count(*) AS size, {ends} FROM {grown} GROUP BY tree, node))))"""
     union = " UNION ALL ".join(f"SELECT * FROM {prefix}split{level}" for level in range(HEIGHT + 1))
     average = ("(CASE WHEN sample_size <= 1 THEN 0.0 WHEN sample_size = 2 THEN 1.0 ELSE 2.0 * (ln(sample_size - 1.0) "

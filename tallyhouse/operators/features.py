@@ -64,19 +64,27 @@ def country_stats(lines: DataFrame) -> DataFrame:
     )
 
 
-def customer_features(amounts: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Customer statistics joined back to the lines.
+def _join_back(lines: DataFrame, key: Column, stats: DataFrame, stats_key: str, staged: bool) -> DataFrame:
+    """Left join per-key statistics to the lines they were computed from.
 
-    The adaptive plan broadcasts the statistics when their size allows and otherwise splits the hot
-    partitions of the lines. Passing a staged ``customer_stats`` lets it decide before any shuffle.
+    Small statistics are broadcast by measured size. Otherwise the adaptive plan splits the lines of a
+    hot key, but only where both inputs come straight from an exchange. A staged table does; an
+    aggregate would keep its partitioning on the key, so the key is wrapped to have it exchanged.
     """
-    stats = customer_stats(amounts) if stats is None else stats
-    return amounts.join(stats, customer_key() == F.col("_customer"), "left").drop("_customer")
+    other = F.col(stats_key)
+    same = key == other if staged else F.struct(key.alias("k")) == F.struct(other.alias("k"))
+    return lines.join(stats, same, "left").drop(stats_key)
+
+
+def customer_features(amounts: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Customer statistics joined back to the lines; ``stats`` passes a staged ``customer_stats`` in."""
+    fresh = customer_stats(amounts) if stats is None else stats
+    return _join_back(amounts, customer_key(), fresh, "_customer", stats is not None)
 
 
 def country_feature(lines: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    stats = country_stats(lines) if stats is None else stats
-    return lines.join(stats, country_key() == F.col("_country"), "left").drop("_country")
+    fresh = country_stats(lines) if stats is None else stats
+    return _join_back(lines, country_key(), fresh, "_country", stats is not None)
 
 
 def line_amounts(lines: DataFrame) -> DataFrame:

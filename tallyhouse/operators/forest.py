@@ -48,10 +48,11 @@ def sample_per_tree(
     smallest per-tree hashes.
     """
     slices = max(1, n_rows // (_OVERSAMPLE * max_samples))
-    slice_of_row = F.floor(unit_interval(seed, F.col(row_id)) * F.lit(float(slices))).cast("int")
+    slice_of_row = F.floor(unit_interval(seed, F.col(row_id)) * F.lit(float(slices)))
     pool = features.filter(slice_of_row < min(slices, n_estimators))
-    trees = F.sequence(slice_of_row, F.lit(n_estimators - 1), F.lit(slices))
-    candidates = pool.select("*", F.explode(trees).alias("tree"))
+    long = lambda n: F.lit(n).cast("bigint")
+    trees = F.sequence(slice_of_row, long(n_estimators - 1), long(slices))
+    candidates = pool.select("*", F.explode(trees).alias("tree")).withColumn("tree", F.col("tree").cast("int"))
     draw = unit_interval(seed, F.col("tree"), F.col(row_id))
     order = Window.partitionBy("tree").orderBy("_draw", row_id)
     return (

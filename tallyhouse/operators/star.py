@@ -19,7 +19,7 @@ def attach(fact: DataFrame, dimension: DataFrame, key: str, columns: Sequence[st
     """Left join a few columns of a keyed dimension.
 
     No broadcast is forced: the optimizer broadcasts a side it knows to be small, and otherwise
-    shuffles, where the adaptive plan splits the partitions of a hot key.
+    shuffles. Between written tables the adaptive plan then splits the partitions of a hot key.
     """
     return fact.join(dimension.select(key, *columns), key, "left")
 

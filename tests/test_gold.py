@@ -1,0 +1,166 @@
+"""Dimensions, facts, marts, KPIs and measures."""
+
+from datetime import date
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.functions.segments import rfm_segment
+from tallyhouse.operators import cleansing, star
+from tallyhouse.plans import kpis, measures
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    sales = cleansing.standardize_sales(
+        spark.createDataFrame(
+            [
+                ("T1", "2023-11-03 10:00:00", "C1", "P1", "S1", 2, D("10.00"), "Cash", "Online"),
+                ("T2", "2023-11-20 11:00:00", "C1", "P2", "S2", 1, D("40.00"), "Cash", "In-Store"),
+                ("T3", "2024-01-05 12:00:00", "C2", "P9", "S1", 1, D("5.00"), "Card", "Online"),
+                ("T4", "2024-01-06 13:00:00", None, "P1", "S3", 4, D("9.00"), "Card", "Online"),
+            ],
+            "transaction_id STRING, timestamp STRING, customer_id STRING, product_id STRING, store_id STRING, "
+            "quantity INT, unit_price DECIMAL(12,2), payment_method STRING, channel STRING",
+        )
+    )
+    products = cleansing.product_margin(
+        spark.createDataFrame(
+            [("P1", "Ring", "Gold", D("6.00"), D("10.00"), "X"), ("P2", "Bolt", "Steel", D("30.00"), D("40.00"), "Y")],
+            "product_id STRING, product_name STRING, category STRING, unit_cost DECIMAL(12,2), "
+            "suggested_retail_price DECIMAL(12,2), supplier STRING",
+        )
+    )
+    stores = spark.createDataFrame(
+        [("S1", "Shop", "Ulm", "BW", "South", 1, 2001), ("S2", "Shop", "Ulm", "BW", "South", 1, 2002),
+         ("S3", "Kiosk", "Kiel", "SH", "North", 1, 2003)],
+        "store_id STRING, store_name STRING, city STRING, state STRING, region STRING, square_feet INT, opened_year INT",
+    )
+    customers = spark.createDataFrame(
+        [(f"C{i}", "A", "B", "a@b", "Gold", "Ulm") for i in (1, 2, 3)],
+        "customer_id STRING, first_name STRING, last_name STRING, email STRING, loyalty_tier STRING, city STRING",
+    )
+    inventory = cleansing.with_reorder_status(
+        spark.createDataFrame(
+            [("P1", "S1", 3, 10, 5), ("P2", "S2", 50, 10, 5), ("P9", "S3", 1, 10, 5)],
+            "product_id STRING, store_id STRING, stock_on_hand INT, reorder_point INT, safety_stock INT",
+        )
+    )
+    built = {
+        "silver_sales": sales, "silver_products": products, "silver_stores": stores,
+        "silver_customers": customers, "silver_inventory": inventory,
+    }
+    from tallyhouse import settings as S
+
+    for name, build in star.GOLD_BUILDERS.items():
+        built[name] = build(built, S.RfmThresholds())
+    return built
+
+
+@pytest.mark.parametrize(
+    "spend, days, segment",
+    [
+        ("1000.01", 30, "Champions"),
+        ("1000.00", 30, "Loyal Customers"),
+        ("1000.01", 31, "Loyal Customers"),
+        ("500.00", 60, "Potential Loyalists"),
+        ("200.00", 90, "Recent/Standard"),
+        ("5000.00", 91, "At Risk"),
+        ("100.00", 91, "Recent/Standard"),
+        ("0.00", 999, "Recent/Standard"),
+    ],
+)
+def test_rfm_boundaries(spark, spend, days, segment):
+    row = spark.range(1).select(rfm_segment(F.lit(D(spend)), F.lit(days)).alias("s")).first()
+    assert row.s == segment
+
+
+def test_fact_keeps_sales_of_unknown_products_with_null_cost(tables):
+    rows = {r.transaction_id: r for r in tables["fact_sales"].collect()}
+    assert len(rows) == 4
+    assert (rows["T1"].cogs, rows["T1"].net_profit, rows["T1"].profit_margin_pct) == (D("12.00"), D("8.00"), 40.0)
+    assert (rows["T3"].unit_cost, rows["T3"].cogs, rows["T3"].net_profit, rows["T3"].profit_margin_pct) == (None,) * 4
+
+
+def test_customers_without_sales_get_defaults_and_anchor_counts_anonymous_sales(tables):
+    rows = {r.customer_id: r for r in tables["dim_customers"].collect()}
+    assert (rows["C3"].total_orders, rows["C3"].total_spend, rows["C3"].days_since_last_purchase) == (0, D("0.00"), 999)
+    assert rows["C1"].avg_order_value == 30.0
+    assert rows["C2"].days_since_last_purchase == 1  # the latest sale, 6 January, has no customer
+    assert rows["C1"].last_purchase_date == date(2023, 11, 20)
+
+
+def test_category_totals_and_invariant(tables):
+    rows = {r.category: r for r in tables["gold_category_performance"].collect()}
+    assert set(rows) == {"Gold", "Steel"}
+    assert (rows["Gold"].total_revenue, rows["Gold"].total_units_sold, rows["Gold"].transaction_count) == (D("56.00"), 6, 2)
+    known = tables["fact_sales"].filter("unit_cost IS NOT NULL").agg(F.sum("gross_amount")).first()[0]
+    assert sum(r.total_revenue for r in rows.values()) == known
+
+
+def test_day_without_known_cost_has_zero_profit(tables):
+    rows = {str(r.transaction_date): r for r in tables["gold_daily_sales_summary"].collect()}
+    assert rows["2024-01-05"].total_net_profit == D("0.00")
+
+
+def test_inventory_reorder_matrix_and_valuation(tables):
+    rows = kpis.reorder_matrix(tables).collect()
+    assert [(r.product_name, r.deficit_quantity, r.inventory_valuation) for r in rows] == [("Ring", 7, D("18.00"))]
+    kpi = kpis.inventory_kpis(tables).first()
+    assert (kpi.total_skus, kpi.total_stock, kpi.reorder_alerts) == (3, 54, 2)
+
+
+def test_stores_with_one_name_are_one_row_in_both_ways_of_counting(tables):
+    fast = kpis.store_profitability(tables).collect()
+    exact = kpis.store_profitability(tables, unique=False).collect()
+    assert fast == exact
+    assert [(r.region, r.store_name, r.transaction_count) for r in fast] == [("South", "Shop", 3), ("North", "Kiosk", 1)]
+
+
+def test_distinct_orders_when_the_fact_table_repeats_a_transaction(tables):
+    twice = {**tables, "fact_sales": tables["fact_sales"].union(tables["fact_sales"])}
+    assert kpis.financial_kpis(twice, unique=False).first().total_transactions == 4
+
+
+def test_time_intelligence_spans_months_without_sales(tables):
+    rows = measures.mom_sales_growth(tables).collect()
+    seen = [(str(r.month_start), r.total_sales, r.sales_previous_month, r.mom_growth_pct) for r in rows]
+    assert seen == [
+        ("2023-11-01", D("60.00"), None, 0.0),
+        ("2023-12-01", D("0.00"), D("60.00"), -100.0),
+        ("2024-01-01", D("41.00"), D("0.00"), 0.0),
+    ]
+    assert [r.sales_ytd for r in measures.sales_ytd(tables).collect()] == [D("60.00"), D("60.00"), D("41.00")]
+
+
+def test_measures_group_by_dimension_columns(tables):
+    rows = {r.region: r for r in measures.measures(tables, ["total_sales", "active_customer_count"], ["region"]).collect()}
+    assert (rows["South"].total_sales, rows["South"].active_customer_count) == (D("65.00"), 2)
+    assert (rows["North"].total_sales, rows["North"].active_customer_count) == (D("36.00"), 0)
+    with pytest.raises(ValueError, match="colour"):
+        measures.measure(tables, "total_sales", ["colour"])
+
+
+def test_ratios_over_nothing_are_zero(tables):
+    empty = {**tables, "fact_sales": tables["fact_sales"].limit(0),
+             "fact_inventory_snapshot": tables["fact_inventory_snapshot"].limit(0)}
+    assert measures.measure(empty, "profit_margin_pct").first()[0] == 0.0
+    assert measures.stock_turnover_ratio(empty).first()[0] == 0.0
+    assert kpis.financial_kpis(empty).first().total_revenue == D("0.00")
+
+
+def test_calendar_covers_whole_years(tables):
+    days = tables["dim_date"].agg(F.min("date"), F.max("date"), F.count("*")).first()
+    assert (str(days[0]), str(days[1]), days[2]) == ("2023-01-01", "2024-12-31", 731)
+
+
+def test_integrity_report_finds_orphans(tables):
+    rows = {(r.fact_table, r.dimension): r for r in star.integrity_report(tables).collect()}
+    assert rows["fact_sales", "dim_products"].orphan_rows == 1
+    assert rows["fact_sales", "dim_customers"].null_rows == 1
+    assert rows["fact_inventory_snapshot", "dim_products"].orphan_keys == 1
+    doubled = star.check_referential_integrity(
+        tables["fact_sales"], tables["dim_stores"].union(tables["dim_stores"]), "store_id"
+    ).first()
+    assert doubled.repeated_dimension_keys == 3

@@ -1,0 +1,42 @@
+"""Exact quantiles, in particular the narrowing that large columns go through."""
+
+import numpy as np
+import pytest
+
+from tallyhouse.operators import quantiles as Q
+
+RNG = np.random.default_rng(11)
+SHAPES = {
+    "normal": RNG.normal(size=4000),
+    "heavy tail": np.exp(RNG.normal(scale=4, size=4000)) * RNG.choice([-1, 1], size=4000),
+    "one value holds most rows": np.where(RNG.random(4000) < 0.7, 3.5, RNG.normal(size=4000)),
+    "few values": RNG.integers(0, 4, size=4000).astype(float),
+    "constant": np.full(4000, 2.0),
+    "two clusters": np.concatenate([RNG.normal(size=2000), 1e9 + RNG.normal(size=2000)]),
+}
+PROBABILITIES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.999, 1.0]
+
+
+def test_all_columns_narrowed_together(spark):
+    names = list(SHAPES)
+    rows = np.column_stack([SHAPES[n] for n in names])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rows], [f"c{i}" for i in range(len(names))]).repartition(6)
+    got = Q.quantiles(df, df.columns, PROBABILITIES, limit=25)
+    for i, name in enumerate(names):
+        expected = np.quantile(SHAPES[name], PROBABILITIES)
+        assert got[f"c{i}"] == pytest.approx(list(expected), rel=1e-12, abs=1e-12), name
+
+
+def test_a_sketch_that_misses_is_widened(spark):
+    search = Q._Search("v", [500, 501], 1000, edges=(10.0, 20.0))
+    before = search.margin
+    assert search.narrow([700, 701, 800, 801]) == {}  # rank 500 lies below both edges
+    assert search.margin == 4 * before and (search.inside, search.low) == (1000, None)
+    search.edges = (5.0, 6.0)
+    assert search.narrow([400, 501, 501, 900]) == {("v", 500): 5.0, ("v", 501): 6.0}
+    assert search.ranks == []
+
+
+def test_nulls_and_empty_columns(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a DOUBLE, b DOUBLE")
+    assert Q.quantiles(df, ["a", "b"], [0.5]) == {"a": [2.0], "b": [None]}
