@@ -388,7 +388,7 @@ BODIES["table_listing"] = " UNION ALL ".join(
 # bronze
 BODIES["audit_columns"] = f"""SELECT * REPLACE ({whole('square_feet')} AS square_feet,
   {whole('opened_year')} AS opened_year), '2024-06-30 12:00:00' AS ingested_at, '{BATCH}' AS batch_id,
-  'stores_raw.xlsx::Stores_Master' AS source_file FROM bronze_stores_raw"""
+  'book.xlsx::Stores_Master' AS source_file FROM bronze_stores_raw"""
 _HASHED = " || '|' || ".join(
     f"coalesce({c}, 'nan')"
     for c in ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country")
