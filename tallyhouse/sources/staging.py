@@ -13,12 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Application id -> folder, for sessions without a configured one.
+_TEMPORARY: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder from ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _TEMPORARY:
+            _TEMPORARY[application] = tempfile.mkdtemp(prefix="tallyhouse-")
+        folder = _TEMPORARY[application]
     return folder.rstrip("/")
 
 

@@ -143,3 +143,14 @@ def test_table_sample_and_listing(spark):
     with pytest.raises(ValueError, match="does not exist"):
         tables.table_sample(spark, "nowhere")
     assert "sampled" in {r.table_name for r in tables.list_tables(spark).collect()}
+
+
+def test_staging_without_a_configured_folder(spark, monkeypatch):
+    from tallyhouse.sources import staging
+
+    class Unset:
+        sparkContext = spark.sparkContext
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    first, second = staging.shared_folder(Unset), staging.shared_folder(Unset)
+    assert first == second and first.count("tallyhouse-") == 1
