@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,28 @@ def local_session(cpus: int | None = None, **extra: str) -> SparkSession:
     spark = build_session("tallyhouse-local", f"local[{cpus}]", **{**defaults, **extra})
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+# Applications that have the package; executors get it once.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, so that their Python workers can import it wherever they start.
+
+    The archive is made on the driver and served by it. With ``spark-submit --py-files`` it is sent twice,
+    which does no harm.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyhouse-"), "tallyhouse.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in os.walk(folder):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.join("tallyhouse", os.path.relpath(path, folder)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
