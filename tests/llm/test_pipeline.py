@@ -1,0 +1,84 @@
+import re
+
+import corpus_pipeline
+import pytest
+from tallyhouse.llm.queries import ORACLES, QUERIES
+from tests.llm.helpers import FOLDER, rows_of
+from tests.llm.test_dedup import dedup_by_hand, near_by_hand
+from tests.llm.test_pieces import LIBRARY
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """What every stage read and returned."""
+    docs, out = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
+    for name, apply in corpus_pipeline.STAGES:
+        after = corpus_pipeline.stage(apply(spark, docs, FOLDER), "step")
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_stages_return_documents(steps):
+    assert [int(bool(s[1].columns == s[2].columns)) for s in steps] == [1, 1, 1, 1, 0]
+    assert all(s[2].count() for s in steps)
+
+
+def test_toxic_documents_go_and_clean_ones_stay(steps):
+    _, before, after = steps[0]
+    kept = {r.doc_id for r in after.select("doc_id").collect()}
+    words = re.compile(r"(?i)\b(idiot|moron|scum|worthless|pathetic)\b")
+    hits = {r.doc_id: len(words.findall(r.text)) for r in before.where("lang = 'en'").collect()}
+    assert not kept & {i for i, n in hits.items() if n > 2}
+    assert len(kept & {i for i, n in hits.items() if not n}) > 0.97 * sum(not n for n in hits.values())
+
+
+def test_repeated_chunks_are_removed(steps):
+    _, before, after = steps[1]
+    expected = {i: t for i, t, _ in dedup_by_hand([(r.doc_id, r.text) for r in before.collect()])}
+    assert {r.doc_id: r.text for r in after.collect()} == expected
+    assert all(r.n_chars == len(r.text) for r in after.collect())
+
+
+def test_one_document_of_each_group_stays(steps):
+    _, before, after = steps[2]
+    groups = near_by_hand([(r.doc_id, r.text) for r in before.collect()])
+    assert sorted(r.doc_id for r in after.collect()) == sorted({root for _, _, root in groups})
+
+
+def test_mixed_documents_are_whole(steps):
+    _, before, after = steps[3]
+    originals = {r.doc_id: r for r in before.collect()}
+    assert all(originals[r.doc_id] == r for r in after.collect())
+
+
+def test_encoding_of_the_last_stage(steps):
+    _, before, after = steps[4]
+    texts = {r.doc_id: r.text for r in before.collect()}
+    for r in rows_of(after):
+        assert r["ids"] == LIBRARY.encode(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
+
+
+def test_run_is_the_stages_in_turn(spark, steps):
+    whole = corpus_pipeline.run(spark, FOLDER)
+    pick = lambda df: sorted((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in rows_of(df))
+    assert pick(whole) == pick(steps[-1][2])
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    columns = sorted(QUERIES[name](spark, FOLDER).columns)
+    theirs = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
+    ours = [tuple(r[c] for c in columns) for r in QUERIES[name](spark, FOLDER).collect()]
+    assert sorted(map(repr, ours)) == sorted(map(repr, theirs))
+
+
+def test_queries_of_the_entry():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
