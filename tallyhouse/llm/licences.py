@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import text_of
+from tallyhouse.sources.staging import stage
 
 THRESHOLD = 0.8
 
@@ -145,7 +146,8 @@ def licence_of_files(
 
     The licence of a directory is that of its licence files (the best score, then the first path). All
     distinct directories are resolved first, by a join of their ancestors with the directories that have
-    a licence; the files then join their directory, a join that splits a directory with very many files.
+    a licence, and staged; the files then join their directory, and the adaptive plan can split one with
+    very many files.
 
     ``origin`` is ``own``, ``inherited`` or null where there is none. Rows that share a path are one file;
     a missing path is one file without a directory, which inherits nothing.
@@ -172,6 +174,7 @@ def licence_of_files(
         .agg(F.max(F.struct("depth", "above", "inherited")).alias("b"))
         .select("directory", F.col("b.above").alias("licence_directory"), F.col("b.inherited").alias("inherited"))
     )
+    resolved = stage(resolved, "directories")
     found = paths.join(own, paths["path"].eqNullSafe(own["path"]), "left").drop(own["path"]).join(resolved, "directory", "left")
     mine = F.col("licence").isNotNull()
     return found.select(

@@ -232,7 +232,7 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"))
     sources = stage(target_words(sizes), "mix-sources")
 
-    by_size = draws_by_size(rows, sources)
+    by_size = stage(draws_by_size(rows, sources), "mix-by-size")  # a table of its own: its join can be split
     ordered = ranked(rows, ["src", "size"], "mix", "row", "rank").join(by_size, ["src", "size"])
     times = (F.col("passes") + F.when(F.col("rank") < F.col("draws"), 1).otherwise(0)).cast("int")
     taken = ordered.withColumn("times", times).where("times > 0")
