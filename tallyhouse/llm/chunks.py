@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import text_of
 from tallyhouse.llm.sketches import let
+from tallyhouse.sources.staging import stage
 
 WINDOW_LINES = 2  # lines that a rolling hash covers
 
@@ -75,6 +76,7 @@ def remove_repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     numbers = rows.select("__key", F.explode(line_chunks(whole)).alias("c")).where("c.lines > 1")
     numbers = numbers.select("__key", F.col("c.no").alias("no"), F.xxhash64("c.body").alias("hash"))
     repeated = numbers.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    repeated = stage(repeated, "repeated-hashes")  # a table of its own: a join with it can be split
     proposed = numbers.join(repeated, "hash", "left_semi").groupBy("__key").agg(F.collect_set("no").alias("__nos"))
 
     met = rows.join(proposed, "__key")
@@ -88,7 +90,8 @@ def remove_repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "t
         F.explode(F.filter(line_chunks(whole), lambda c: F.array_contains("__nos", c["no"]))).alias("c"),
     ).select("__key", F.struct(F.col("order"), F.col("c.no").alias("no")).alias("at"), F.col("c.body").alias("body"))
     first = candidates.groupBy("body").agg(F.min("at").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = candidates.join(first.select("body", "kept"), "body").where("at > kept")
+    first = stage(first.select("body", "kept"), "first-chunks")
+    later = candidates.join(first, "body").where("at > kept")
     gone = later.groupBy("__key").agg(F.collect_set(F.struct(F.col("at.order.row").alias("row"), F.col("at.no").alias("no"))).alias("__gone"))
 
     here = F.xxhash64(*[F.col(f"__row.{c}") for c in plain])
