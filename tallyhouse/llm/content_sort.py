@@ -106,12 +106,9 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     edges = runs.where("edge").groupBy("edge_text").agg(
         F.when(F.count("least") == F.count(F.lit(1)), F.min("least")).alias("group_least"), F.sum("size").alias("group_size")
     )
-    groups = runs.join(edges, "edge_text", "left").select(
-        "part",
-        "run",
-        F.when(F.col("edge"), F.col("group_least")).otherwise(F.col("least")).alias("keep_id"),
-        F.coalesce("group_size", "size").alias("group_size"),
-    )
+    whole = runs.where("NOT edge").select("part", "run", F.col("least").alias("keep_id"), F.col("size").alias("group_size"))
+    joined = runs.where("edge").join(stage(edges, "edge-runs"), "edge_text")
+    groups = whole.unionByName(joined.select("part", "run", F.col("group_least").alias("keep_id"), "group_size"))
     return rows.join(groups, ["part", "run"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
