@@ -82,7 +82,7 @@ def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def followers(rows: DataFrame) -> DataFrame:
-    """``key``, ``prev_key``, ``prev_chars``: which document each one follows, in a circle.
+    """``key``, ``doc_id``, ``prev_key``, ``prev_chars``: which document each one follows, in a circle.
 
     Only ids, digests and lengths move. They are dealt by sampled ranges and staged with their places; a
     task then orders one range, and the ends of ranges are joined through one row per range.
@@ -91,7 +91,7 @@ def followers(rows: DataFrame) -> DataFrame:
     narrow = rows.groupBy("key", "doc_id", "digest").agg(F.max(F.length("text")).alias("chars"))
     placed = stage(
         narrow.repartitionByRange(*order).sortWithinPartitions(*order).select(
-            "key", "chars", F.monotonically_increasing_id().alias("place")
+            "key", "doc_id", "chars", F.monotonically_increasing_id().alias("place")
         ),
         "places",
     ).withColumn("part", F.shiftrightunsigned("place", 33))
@@ -101,8 +101,8 @@ def followers(rows: DataFrame) -> DataFrame:
     ends = ends.select("part", F.coalesce(F.lag("last").over(by_part), F.last("last").over(whole)).alias("border"))
     inside = Window.partitionBy("part").orderBy("place")
     before = F.coalesce(F.lag(F.struct("key", "chars")).over(inside), F.col("border"))
-    return placed.join(ends, "part").select("key", before.alias("p")).select(
-        "key", F.col("p.key").alias("prev_key"), F.col("p.chars").alias("prev_chars")
+    return placed.join(ends, "part").select("key", "doc_id", before.alias("p")).select(
+        "key", "doc_id", F.col("p.key").alias("prev_key"), F.col("p.chars").alias("prev_chars")
     )
 
 
@@ -111,16 +111,17 @@ def compare_with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     The next document is that of the next ``doc_id``, after the last one the first. The edited text has
     its last ``floor(n_chars / 4)`` code points replaced by the first as many of the next text, or all
-    where that is shorter. Texts move twice: once to meet their predecessor's key, and then only the
-    part that the predecessor takes, with the sketch.
+    where that is shorter. A text moves once to meet its predecessor's key, and then only the part that
+    the predecessor takes, with the sketch.
 
     Missing texts are empty, and a missing ``doc_id`` sorts first. Texts that share an id are ordered by a
     digest; rows that repeat id and text are one document in that order and come back as often as
     given. A single document is its own next. An empty table gives no rows.
     """
-    rows = _keyed(df, doc_id, text).select("key", "doc_id", "digest", "text")
+    rows = _keyed(df, doc_id, text)
     chain = stage(followers(rows), "followers")
-    met = rows.select("key", "doc_id", "text").join(chain, "key")
+    # Both uses of this join read the same exchange of key and text; all else comes from the chain.
+    met = rows.select("key", "text").join(chain, "key")
     given = met.select(
         F.col("prev_key").alias("key"),
         F.substring(F.col("text"), F.lit(1), F.floor(F.col("prev_chars") / 4).cast("int")).alias("given"),
