@@ -81,8 +81,9 @@ def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLA
     Every line of a file, and the file as a whole (block -1), is a sparse vector of terms weighted by
     their rarity over all files; terms that no template has weigh as the rarest. A file's licence is
     that of the template with the greatest cosine from the threshold up; ties go to the earlier block,
-    then to the first name. All lines are looked at: only blocks without any of the terms that the threshold requires
-    are left out, which loses nothing. What reaches the driver is a count for each template term.
+    then to the first name. All lines are looked at: only blocks that cannot reach the
+    threshold are left out, for lack of any of the terms it requires or for the weight of their unknown
+    words, which loses nothing. What reaches the driver is a count for each template term.
 
     Missing texts are empty and state nothing. Rows that share a path are one file with several texts:
     their best block counts. Other columns are not read.
@@ -102,6 +103,21 @@ def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLA
     needed = sorted(required_terms(templates, idf, threshold))
     has_needed = lambda t: F.exists(terms_of(t), lambda w: w.isin(needed))
     open_files = files.where(has_needed(F.col("text"))).withColumn("key", key)
+    rarity_map = F.create_map(*[F.lit(x) for pair in idf.items() for x in pair])
+
+    def can_reach(t: Column) -> Column:
+        """Whether the known terms of a block are heavy enough for the threshold.
+
+        The cosine is at most the share of the known terms in the length of the vector, and each unknown
+        word adds at least its own square to that.
+        """
+        known = F.filter(t, lambda w: w.isin(vocabulary))
+        square = F.aggregate(F.array_distinct(known), F.lit(0.0), lambda a, w: a + F.pow(
+            F.size(F.filter(known, lambda x: x == w)) * F.element_at(rarity_map, w), F.lit(2.0)
+        ))
+        others = (F.size(t) - F.size(known)) * unknown * unknown
+        return others <= square * (1 / threshold**2 - 1) * (1 + 1e-9)
+
     lines = open_files.select("key", "path", F.posexplode(F.split("text", "\n", -1)).alias("block", "body"))
     blocks = lines.where(has_needed(F.col("body"))).unionByName(
         open_files.select("key", "path", F.lit(-1).alias("block"), F.col("text").alias("body"))
@@ -114,13 +130,14 @@ def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLA
         vectors += [(t, n, name, w / length) for t, w in weights.items()]
     templated = spark.createDataFrame(vectors, "term string, template int, licence string, share double")
 
-    terms = (
-        blocks.select("key", "path", "block", F.explode(terms_of(F.col("body"))).alias("term"))
+    blocks = blocks.withColumn("terms", terms_of(F.col("body"))).where(can_reach(F.col("terms")))
+    terms = stage(  # read twice below
+        blocks.select("key", "path", "block", F.explode("terms").alias("term"))
         .groupBy("key", "path", "block", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(rarities, "term", "left")
-        .withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(unknown)))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "block-terms",
     )
+    terms = terms.join(rarities, "term", "left").withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(unknown)))
     of = ["key", "block"]
     lengths = terms.groupBy(*of).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     products = terms.join(templated, "term").groupBy(*of, "path", "template", "licence")
@@ -152,7 +169,7 @@ def licence_of_files(
     ``origin`` is ``own``, ``inherited`` or null where there is none. Rows that share a path are one file;
     a missing path is one file without a directory, which inherits nothing.
     """
-    own = scan_licences(df, path, text, templates, threshold)
+    own = stage(scan_licences(df, path, text, templates, threshold), "own-licences")
     name = F.regexp_replace(F.col("path"), r"^.*/", "")
     holders = own.where(name.rlike(LICENCE_FILE)).withColumn("directory", directory_of(F.col("path")))
     best = F.min(F.struct((-F.col("score")).alias("s"), F.col("path").alias("p"), "licence")).alias("b")
