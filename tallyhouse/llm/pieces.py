@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tallyhouse.llm.common import append_columns
 
 BLANK = "▁"  # what stands for a space in pieces
-CACHED_SEGMENTS = 500_000
+CACHED_SEGMENTS = 1_000_000
 
 FIELDS = [
     T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -201,13 +201,18 @@ class PieceEncoder:
         self.segments[segment] = ids.astype("<i4").tobytes(), np.diff(at).astype("<i4").tobytes()
 
     def _learn(self, segments: list[bytes]) -> None:
+        # After one space, all of a segment stands for itself in a plain normaliser.
         single = [s for s in segments if len(s) > 1 and s[1:2] != b" "]
         for a in range(0, len(single), 4096):
             part = single[a : a + 4096]
             ids = np.array(self.model.encode(b"".join(part).decode()[1:]), np.int32)
             cuts = np.flatnonzero(self.opens[ids])
-            for s, b, e in zip(part, cuts, [*cuts[1:], len(ids)], strict=True):
-                self._keep(s, ids[b:e])
+            sizes = self.width[ids]
+            sizes[cuts] += 1 - len(BLANK.encode())  # the sign in front is one space of the source
+            ids, sizes = ids.astype("<i4").tobytes(), sizes.astype("<i4").tobytes()
+            begins = (cuts * 4).tolist()
+            for s, b, e in zip(part, begins, [*begins[1:], len(ids)], strict=True):
+                self.segments[s] = ids[b:e], sizes[b:e]
         for s in segments:
             if s not in self.segments:
                 self._keep(s, np.array(self.model.encode(s[1:].decode()) or [self.blank], np.int32))
@@ -219,7 +224,7 @@ class PieceEncoder:
         cut = [re.findall(rb" +[^ ]*", r) if self.by_segment and t and mark not in r else None for r, t in zip(raw, texts)]
         if len(self.segments) > CACHED_SEGMENTS:
             self.segments.clear()
-        self._learn(sorted(set().union(*[c for c in cut if c]) - self.segments.keys()))
+        self._learn(list(set().union(*[c for c in cut if c]) - self.segments.keys()))
         get = self.segments.__getitem__
         found = []
         for text, parts in zip(texts, cut):

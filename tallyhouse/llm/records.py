@@ -27,7 +27,7 @@ MASK_DELTA = 0xA282EAD8
 
 ROW = 256  # bytes of one row when checksums are computed side by side
 READ_BYTES = 16 << 20
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 
 INDEX_SCHEMA = (
     "doc_id long, part long, ordinal long, file string, offset long, length long, tokens_before long, n_tokens long"
@@ -140,7 +140,7 @@ class WordEncoder:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
         new = set().union(*split) - self.words.keys()
-        self._learn(sorted(new))
+        self._learn(list(new))
         get = self.words.__getitem__
         return [self._whole(t) if w else b"".join(map(get, s)) for t, w, s in zip(texts, whole, split)]
 
