@@ -127,7 +127,7 @@ def fit_toxicity(sample: DataFrame) -> OrdinalModel:
         return [pa.array([sorted({f for w in words_in(t) for f in features_of(w)}) for t in texts], pa.list_(pa.string()))]
 
     found = append_columns(sample, "text", [listed], all_features, drop=("text",))
-    totals = {r["toxic"]: r["count"] for r in found.groupBy("toxic").count().collect()}
+    totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     empty = OrdinalModel({}, np.full(n_grades - 1, 30.0))
     if not toxic:
