@@ -666,9 +666,9 @@ BODIES["recency_spend_scatter"] = f"""SELECT customer_id, {whole(_DAYS)} AS {_DA
 BODIES["customer_roster"] = "SELECT customer_id, email, loyalty_tier, total_orders, rfm_segment FROM dim_customers"
 
 # ad-hoc SQL
-BODIES["adhoc_sql"] = f"""SELECT strftime(transaction_date, '%Y-%m') AS sales_month,
-  count(DISTINCT transaction_id) AS total_orders, {dollars('sum(gross_amount)')} AS gross_revenue
-  FROM fact_sales GROUP BY 1"""
+BODIES["adhoc_sql"] = f"""SELECT channel, strftime(transaction_date, '%Y-%m') AS sales_month, count(*) AS n_lines,
+  {dollars('sum(gross_amount)')} AS revenue FROM fact_sales WHERE quantity > 1
+  GROUP BY channel, sales_month HAVING count(*) > 2"""
 BODIES["strftime_shim"] = """SELECT strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS n FROM events
   WHERE event_type = 'purchase' GROUP BY 1"""
 BODIES["purchases_by_hour"] = f"""SELECT {whole('hour(ts)')} AS transaction_hour, count(*) AS purchases,

@@ -23,6 +23,11 @@ def money(value: Column) -> Column:
     return value.cast(AMOUNT)
 
 
+def total_money(value: Column) -> Column:
+    """Sum of exact amounts, wide enough for any number of rows."""
+    return value.cast("decimal(38,2)")
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as double; NULL (never an error) where the denominator is zero or NULL."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

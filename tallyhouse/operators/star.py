@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
 from tallyhouse import schemas
-from tallyhouse.functions.numbers import mean_amount, money, percent
+from tallyhouse.functions.numbers import mean_amount, money, percent, total_money
 from tallyhouse.functions.segments import rfm_segment
 
 Tables = Mapping[str, DataFrame]
@@ -47,7 +47,7 @@ def customer_aggregate(sales: DataFrame, unique: bool = True) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             order_count(unique).alias("total_orders"),
-            money(F.sum("gross_amount")).alias("total_spend"),
+            total_money(F.sum("gross_amount")).alias("total_spend"),
             mean_amount(F.col("gross_amount")).alias("avg_order_value"),
             F.max("transaction_date").alias("last_purchase_date"),
         )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
-from tallyhouse.functions.numbers import mean_amount, money, percent, round_half_up, safe_ratio
+from tallyhouse.functions.numbers import mean_amount, money, percent, round_half_up, safe_ratio, total_money
 from tallyhouse.operators.star import order_count
 
 Tables = Mapping[str, DataFrame]
@@ -34,8 +34,8 @@ def monthly_performance(tables: Tables, unique: bool = True) -> DataFrame:
         .agg(
             order_count(unique).alias("total_orders"),
             F.sum("quantity").alias("total_units_sold"),
-            money(F.sum("gross_amount")).alias("gross_revenue"),
-            money(F.sum("net_profit")).alias("net_profit"),
+            total_money(F.sum("gross_amount")).alias("gross_revenue"),
+            total_money(F.sum("net_profit")).alias("net_profit"),
             mean_amount(F.col("gross_amount")).alias("avg_order_value"),
         )
     )
@@ -58,7 +58,7 @@ def rfm_summary(tables: Tables) -> DataFrame:
         .agg(
             F.count("customer_id").alias("customer_count"),
             mean_amount(F.col("total_spend")).alias("avg_lifetime_spend"),
-            money(F.sum("total_spend")).alias("segment_total_spend"),
+            total_money(F.sum("total_spend")).alias("segment_total_spend"),
             round_half_up(safe_ratio(F.sum(days), F.count(days)), 1).alias("avg_recency_days"),
         )
         .orderBy(F.desc("segment_total_spend"), "rfm_segment")
@@ -174,8 +174,8 @@ def monthly_trend(tables: Tables, unique: bool = True) -> DataFrame:
         tables["fact_sales"]
         .groupBy(month_start())
         .agg(
-            money(F.sum("gross_amount")).alias("revenue"),
-            money(F.sum("net_profit")).alias("profit"),
+            total_money(F.sum("gross_amount")).alias("revenue"),
+            total_money(F.sum("net_profit")).alias("profit"),
             order_count(unique).alias("orders"),
         )
         .select(month_text().alias("month"), "revenue", "profit", "orders")
@@ -188,8 +188,8 @@ def category_kpis(tables: Tables) -> DataFrame:
         tables["gold_category_performance"]
         .groupBy("category")
         .agg(
-            money(F.sum("total_revenue")).alias("revenue"),
-            money(F.sum("total_profit")).alias("profit"),
+            total_money(F.sum("total_revenue")).alias("revenue"),
+            total_money(F.sum("total_profit")).alias("profit"),
             F.sum("total_units_sold").alias("units"),
         )
         .orderBy(F.desc("revenue"), "category")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
-from tallyhouse.functions.numbers import money, ratio_or_zero, round_half_up
+from tallyhouse.functions.numbers import money, ratio_or_zero, round_half_up, total_money
 from tallyhouse.operators.star import order_count
 from tallyhouse.schemas import RELATIONS
 
@@ -25,7 +25,7 @@ class Measure:
 
 
 def _amount(column: str) -> Callable[[], Column]:
-    return lambda: money(F.sum(column))
+    return lambda: total_money(F.sum(column))
 
 
 def _in_segment(segment: str) -> Callable[[], Column]:
@@ -151,7 +151,7 @@ def top_category_products(tables: Tables, k: int = 10) -> DataFrame:
     return (
         per_product.join(products, "product_id")
         .groupBy(*keys)
-        .agg(money(F.sum("_sales")).alias("total_sales"))
+        .agg(total_money(F.sum("_sales")).alias("total_sales"))
         .orderBy(F.desc("total_sales"), *keys)
         .limit(k)
     )
@@ -163,7 +163,7 @@ def sales_by_location(tables: Tables) -> DataFrame:
     return (
         per_store.join(stores, "store_id")
         .groupBy("state", "city")
-        .agg(money(F.sum("_sales")).alias("total_sales"))
+        .agg(total_money(F.sum("_sales")).alias("total_sales"))
     )
 
 
@@ -175,7 +175,7 @@ def valuation_by_category(tables: Tables) -> DataFrame:
     return (
         per_product.join(products, "product_id")
         .groupBy("category")
-        .agg(money(F.sum("_value")).alias("total_inventory_valuation"))
+        .agg(total_money(F.sum("_value")).alias("total_inventory_valuation"))
     )
 
 

@@ -18,9 +18,12 @@ _TEMPORARY: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder from ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """Folder from ``spark.checkpoint.dir``; a temporary one only where that is unset, in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         application = spark.sparkContext.applicationId
         if application not in _TEMPORARY:
             _TEMPORARY[application] = tempfile.mkdtemp(prefix="tallyhouse-")
