@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.common import append_columns
+from tallyhouse.sources.staging import stage
 
 SAMPLE_ROWS = 20_000  # labelled rows that a model is fitted on, at most
 FEATURES = 4_096  # features of a model, at most
@@ -105,11 +106,13 @@ def fit_ordinal(rows: list[np.ndarray], values: list[np.ndarray], grades: np.nda
 def labelled_sample(df: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     """``text`` and ``toxic`` of at most ``limit`` labelled rows, the same ones whenever the labels are.
 
-    The bounded list of ids goes to the texts, so that no text is shuffled.
+    The bounded list of ids goes to the texts, so that no text is shuffled. The sample is staged: fitting
+    reads it several times, and the table of texts is read only once.
     """
     flags = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     some = flags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id").select("text", "toxic")
+    texts = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return stage(texts.join(F.broadcast(some), "doc_id").select("text", "toxic"), "labelled-sample")
 
 
 def fit_toxicity(sample: DataFrame) -> OrdinalModel:
