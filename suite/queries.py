@@ -309,7 +309,7 @@ over_layers("monthly_performance", kpis.monthly_performance)
 over_layers("rfm_summary", kpis.rfm_summary)
 over_layers("reorder_matrix", kpis.reorder_matrix)
 over_layers("top_margin_products", kpis.top_margin_products)
-over_layers("store_profitability", kpis.store_profitability)
+over_layers("store_profitability", lambda t: kpis.store_profitability(t, unique=True))
 over_layers("store_profitability_exact_distinct", lambda t: kpis.store_profitability(t, unique=False))
 over_layers("financial_kpis", kpis.financial_kpis)
 over_layers("inventory_kpis", kpis.inventory_kpis)

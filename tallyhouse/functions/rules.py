@@ -9,8 +9,14 @@ from tallyhouse import settings as S
 from tallyhouse.functions.numbers import parse_number
 from tallyhouse.functions.text import is_blank, strip
 
-# Second date layout that occurs in such files; the engine's own parser covers ISO texts.
-SLASHED_DATE = "M/d/yyyy H:mm"
+# Date layouts that occur in such files; the engine's own parser covers ISO texts.
+DATE_LAYOUTS = (
+    "M/d/yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "yyyyMMdd",
+)
 
 
 def missing_customer() -> Column:
@@ -35,7 +41,7 @@ def bad_unit_price(price: Column | None = None) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Timestamp from text, NULL if no known layout fits."""
-    return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(text, F.lit(SLASHED_DATE)))
+    return F.coalesce(text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(x)) for x in DATE_LAYOUTS])
 
 
 def bad_date() -> Column:

@@ -24,12 +24,12 @@ def attach(fact: DataFrame, dimension: DataFrame, key: str, columns: Sequence[st
     return fact.join(dimension.select(key, *columns), key, "left")
 
 
-def order_count(unique: bool = True) -> Column:
+def order_count(unique: bool = False) -> Column:
     """Number of distinct transactions.
 
-    Facts built here hold one row per transaction (silver keeps one row per id and the joined
-    dimensions are unique), so counting ids is the distinct count without its extra shuffle of the
-    whole fact table. Pass ``unique=False`` for a fact table without that guarantee.
+    ``unique=True`` is for facts that are known to hold one row per transaction, as the layer run's are
+    (silver keeps one row per id and the joined dimensions are unique): counting ids is then the distinct
+    count without its extra shuffle of the whole fact table.
     """
     return F.count("transaction_id") if unique else F.count_distinct("transaction_id")
 
@@ -40,7 +40,7 @@ def total(column: str) -> Column:
 
 
 # --- dimensions -------------------------------------------------------------------------------
-def customer_aggregate(sales: DataFrame, unique: bool = True) -> DataFrame:
+def customer_aggregate(sales: DataFrame, unique: bool = False) -> DataFrame:
     """Orders, spend, exact sum parts of the mean, and last purchase per known customer."""
     return (
         sales.filter(F.col("customer_id").isNotNull())
@@ -132,7 +132,7 @@ def fact_inventory_snapshot(inventory: DataFrame, products: DataFrame) -> DataFr
 
 
 # --- marts ------------------------------------------------------------------------------------
-def daily_sales_summary(fact: DataFrame, unique: bool = True) -> DataFrame:
+def daily_sales_summary(fact: DataFrame, unique: bool = False) -> DataFrame:
     return (
         fact.groupBy("transaction_date")
         .agg(
@@ -179,7 +179,7 @@ GOLD_BUILDERS: dict[str, Callable[[Tables, S.RfmThresholds], DataFrame]] = {
     "dim_date": lambda t, _: dim_date_of(t["silver_sales"]),
     "fact_sales": lambda t, _: fact_sales(t["silver_sales"], t["silver_products"]),
     "fact_inventory_snapshot": lambda t, _: fact_inventory_snapshot(t["silver_inventory"], t["silver_products"]),
-    "gold_daily_sales_summary": lambda t, _: daily_sales_summary(t["fact_sales"]),
+    "gold_daily_sales_summary": lambda t, _: daily_sales_summary(t["fact_sales"], unique=True),
     "gold_category_performance": lambda t, _: category_performance(t["fact_sales"], t["silver_products"]),
 }
 
@@ -220,7 +220,7 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def gold_summary(tables: Tables, unique: bool = True) -> DataFrame:
+def gold_summary(tables: Tables, unique: bool = False) -> DataFrame:
     """Headline totals and row counts, one row."""
     totals = tables["fact_sales"].agg(
         total("gross_amount").alias("total_revenue"),

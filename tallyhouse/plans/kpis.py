@@ -27,7 +27,7 @@ def month_text() -> Column:
     return F.date_format("_month", "yyyy-MM")
 
 
-def monthly_performance(tables: Tables, unique: bool = True) -> DataFrame:
+def monthly_performance(tables: Tables, unique: bool = False) -> DataFrame:
     months = (
         tables["fact_sales"]
         .groupBy(month_start())
@@ -110,7 +110,7 @@ def top_margin_products(tables: Tables, k: int = 10) -> DataFrame:
     )
 
 
-def store_profitability(tables: Tables, unique: bool = True) -> DataFrame:
+def store_profitability(tables: Tables, unique: bool = False) -> DataFrame:
     """Totals per region, store name and city; stores that share all three are one row.
 
     The distinct transactions of such stores add up, as a unique transaction belongs to one store.
@@ -136,7 +136,7 @@ def store_profitability(tables: Tables, unique: bool = True) -> DataFrame:
     )
 
 
-def financial_kpis(tables: Tables, unique: bool = True) -> DataFrame:
+def financial_kpis(tables: Tables, unique: bool = False) -> DataFrame:
     zero = F.lit(0)
     gross = F.col("gross_amount")
     return tables["fact_sales"].agg(
@@ -169,7 +169,7 @@ def rfm_distribution(tables: Tables) -> DataFrame:
     )
 
 
-def monthly_trend(tables: Tables, unique: bool = True) -> DataFrame:
+def monthly_trend(tables: Tables, unique: bool = False) -> DataFrame:
     return (
         tables["fact_sales"]
         .groupBy(month_start())

@@ -11,8 +11,13 @@ from tallyhouse.functions.sqlcompat import register_strftime
 from tallyhouse.sources.tables import register_tables
 
 
+# Expressions of Spark that call any method of the JVM.
+METHOD_CALLS = ("CallMethodViaReflection", "TryReflect")
+FILES_AS_TABLES = "spark.sql.runSQLOnFiles"
+
+
 class RejectedStatement(ValueError):
-    """Empty text, or a statement that is not a single query."""
+    """Empty text, a statement that is not a single query, or one that calls methods of the JVM."""
 
 
 def run_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -20,6 +25,8 @@ def run_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] |
 
     What is accepted is decided by Spark's own parser: only a query can stand in a FROM clause, so
     the text is first analysed there. Statements that change data or the catalog never get further.
+    Neither do calls of JVM methods, which the analysed plan shows under any name, and a file's path is
+    no table here: a query reads registered tables only.
     """
     query = text.strip().rstrip(";").strip()
     if not query:
@@ -27,8 +34,16 @@ def run_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] |
     if tables:
         register_tables(tables)
     register_strftime(spark)
+    before = spark.conf.get(FILES_AS_TABLES)
+    spark.conf.set(FILES_AS_TABLES, "false")
     try:
         spark.sql(f"SELECT * FROM (\n{query}\n) AS checked")
+        result = spark.sql(query)
     except ParseException as error:
         raise RejectedStatement(f"Only a single query can be run here: {error}") from error
-    return spark.sql(query)
+    finally:
+        spark.conf.set(FILES_AS_TABLES, before)
+    plan = result._jdf.queryExecution().analyzed().toJSON()
+    if any(name in plan for name in METHOD_CALLS):
+        raise RejectedStatement("Methods of the JVM cannot be called here")
+    return result

@@ -42,6 +42,13 @@ CASES = [
     ({"InvoiceDate": "INVALID_TIMESTAMP"}, [S.BAD_DATE]),
     ({"InvoiceDate": "2024-99-99 25:99:99"}, [S.BAD_DATE]),
     ({"InvoiceDate": "12/1/2010 8:26"}, []),
+    ({"InvoiceDate": "12/1/2010"}, []),
+    ({"InvoiceDate": "12/01/2010 08:26:00"}, []),
+    ({"InvoiceDate": "2010/12/01"}, []),
+    ({"InvoiceDate": "1-Dec-2010"}, []),
+    ({"InvoiceDate": "Dec 1, 2010"}, []),
+    ({"InvoiceDate": "20101201"}, []),
+    ({"InvoiceDate": "13/32/2010"}, [S.BAD_DATE]),
     ({"InvoiceDate": None}, []),
     ({"Country": "uk"}, [S.BAD_COUNTRY]),
     ({"Country": "U.K."}, [S.BAD_COUNTRY]),

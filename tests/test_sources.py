@@ -5,6 +5,8 @@ import zipfile
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from pyspark.sql import functions as F
 
 from suite.sheets import workbook_bytes
@@ -47,6 +49,15 @@ def test_sequence_follows_files_and_lines_over_many_splits(spark, tmp_path, conf
     assert rows.select("row_seq").distinct().count() == 459
 
 
+def test_numbering_moves_no_row_and_reads_once(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = write_sales(tmp_path / "s p", {"a b.csv": ["T1,t,c,p,s,1,1,m,c"], "b%20é.csv": ["T2,t,c,p,s,1,1,m,c"]})
+    rows = files.ingest_csv(spark, path)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan and plan.count("FileScan") == 1
+    assert [r.transaction_id for r in rows.orderBy("row_seq").collect()] == ["T1", "T2"]
+
+
 def test_json_array_file(spark, tmp_path):
     people = [{"customer_id": f"C{i}", "email": None if i else "a@b", "web_sessions_count": i, "opt_in_marketing": True} for i in range(3)]
     (tmp_path / "customers.json").write_text(json.dumps(people, indent=2))
@@ -128,6 +139,28 @@ def test_workbench_rejects_everything_but_a_query(spark, text):
         run_query(spark, text)
 
 
+@pytest.mark.parametrize("name", ["reflect", "java_method", "try_reflect", "`reflect`"])
+def test_workbench_rejects_calls_of_the_jvm(spark, name):
+    call = f"{name}('java.lang.System', 'getProperty', 'user.dir')"
+    for text in (f"SELECT {call}", f"SELECT 1 WHERE EXISTS (SELECT {call})", f"WITH a AS (SELECT {call} AS x) SELECT x FROM a"):
+        with pytest.raises(RejectedStatement):
+            run_query(spark, text)
+
+
+def test_workbench_reads_registered_tables_only(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    with pytest.raises(AnalysisException):
+        run_query(spark, f"SELECT * FROM parquet.`{tmp_path}/t`")
+    assert spark.sql(f"SELECT * FROM parquet.`{tmp_path}/t`").count() == 3
+
+
+def test_words_for_missing_cells(spark):
+    rows = [("a.xlsx", "S", 0, {"n": "N/A", "s": "NA"}), ("a.xlsx", "S", 1, {"n": "7", "s": "x"})]
+    cells = spark.createDataFrame(rows, workbook.CELL_ROWS)
+    got = workbook.sheet_table(cells, "S", StructType([StructField("n", IntegerType()), StructField("s", StringType())]))
+    assert [(r.n, r.s) for r in got.orderBy("row_seq").collect()] == [(None, None), (7, "x")]
+
+
 def test_workbench_runs_queries(spark):
     t = spark.createDataFrame([("2024-02-03",), ("2024-02-04",)], "d STRING").select(F.to_date("d").alias("d"))
     got = run_query(spark, "WITH m AS (SELECT STRFTIME('%Y-%m', d) AS k FROM sold) SELECT k, COUNT(*) AS cnt FROM m GROUP BY k -- months\n;\n", {"sold": t})
@@ -139,7 +172,7 @@ def test_workbench_runs_queries(spark):
 def test_table_sample_and_listing(spark):
     spark.range(900).createOrReplaceTempView("sampled")
     assert tables.table_sample(spark, "sampled").count() == 50
-    assert tables.table_sample(spark, "sampled", 9999).count() == 500
+    assert tables.table_sample(spark, "sampled", 9999).count() == 900
     with pytest.raises(ValueError, match="does not exist"):
         tables.table_sample(spark, "nowhere")
     assert "sampled" in {r.table_name for r in tables.list_tables(spark).collect()}
