@@ -14,6 +14,7 @@ from tallyhouse.llm.common import append_columns
 
 BLANK = "▁"  # what stands for a space in pieces
 CACHED_SEGMENTS = 1_000_000
+CACHED_BYTES = 64 << 20  # of segments, ids and sizes together, so that texts without spaces cannot fill the memory
 
 FIELDS = [
     T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -148,7 +149,7 @@ class PieceEncoder:
 
     A segment is a run of spaces and what follows up to the next space. Where no piece of the model
     has a blank after another character, and the normaliser only escapes spaces, segments never
-    interact: each distinct one is encoded once and kept (up to ``CACHED_SEGMENTS``). Otherwise, for
+    interact: each distinct one is encoded once and kept (up to ``CACHED_SEGMENTS`` and ``CACHED_BYTES``). Otherwise, for
     models without byte pieces, and for texts that hold the blank sign itself, whole texts are encoded.
     """
 
@@ -174,6 +175,7 @@ class PieceEncoder:
         free = not any(k == 4 or re.search(f"[^{BLANK}]{BLANK}", n) for n, k in zip(names, kinds))
         self.by_segment = self.normalise.plain and free and 6 in kinds and self.blank is not None
         self.segments: dict[bytes, tuple[bytes, bytes]] = {}
+        self.cached_bytes = 0
 
     def _widths(self, ids: np.ndarray, text: str) -> np.ndarray:
         """Normalised bytes of each piece."""
@@ -222,10 +224,13 @@ class PieceEncoder:
         raw = [b" " + t.encode() for t in texts]
         mark = BLANK.encode()
         cut = [re.findall(rb" +[^ ]*", r) if self.by_segment and t and mark not in r else None for r, t in zip(raw, texts)]
-        if len(self.segments) > CACHED_SEGMENTS:
+        if len(self.segments) > CACHED_SEGMENTS or self.cached_bytes > CACHED_BYTES:
             self.segments.clear()
-        self._learn(list(set().union(*[c for c in cut if c]) - self.segments.keys()))
+            self.cached_bytes = 0
+        new = list(set().union(*[c for c in cut if c]) - self.segments.keys())
+        self._learn(new)
         get = self.segments.__getitem__
+        self.cached_bytes += sum(len(s) + sum(map(len, get(s))) for s in new)
         found = []
         for text, parts in zip(texts, cut):
             if parts is None:
