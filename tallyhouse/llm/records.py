@@ -28,6 +28,7 @@ MASK_DELTA = 0xA282EAD8
 ROW = 256  # bytes of one row when checksums are computed side by side
 READ_BYTES = 16 << 20
 CACHED_WORDS = 1_000_000
+CACHED_BYTES = 64 << 20  # of words and ids together, so that texts without spaces cannot fill the memory
 
 INDEX_SCHEMA = (
     "doc_id long, part long, ordinal long, file string, offset long, length long, tokens_before long, n_tokens long"
@@ -94,7 +95,7 @@ class WordEncoder:
     """Ids of texts from a tokenizer file, equal to the library's encoding of the whole text.
 
     Where the tokenizer drops white space and so never joins words, each distinct word is encoded
-    once and its ids are kept (up to ``CACHED_WORDS``); a special token separates the new words of one
+    once and its ids are kept (up to ``CACHED_WORDS`` and ``CACHED_BYTES``); a special token separates the new words of one
     call. Other tokenizers, and texts that hold a special token, are encoded whole.
     """
 
@@ -114,6 +115,7 @@ class WordEncoder:
         drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
         self.by_word = bool(self.special and collapses and drops)
         self.words: dict[bytes, bytes] = {}
+        self.cached_bytes = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -137,11 +139,13 @@ class WordEncoder:
         raw = [t.encode() for t in texts]
         whole = [not self.by_word or any(s in r for s in self.special) for r in raw]
         split = [[] if w else r.split() for r, w in zip(raw, whole)]
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > CACHED_WORDS or self.cached_bytes > CACHED_BYTES:
             self.words.clear()
+            self.cached_bytes = 0
         new = set().union(*split) - self.words.keys()
         self._learn(list(new))
         get = self.words.__getitem__
+        self.cached_bytes += sum(len(w) + len(get(w)) for w in new)
         return [self._whole(t) if w else b"".join(map(get, s)) for t, w, s in zip(texts, whole, split)]
 
 
