@@ -28,12 +28,9 @@ def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
+    """The document with the smallest id of each group of near copies; different ones without an id all stay."""
     ship_package(spark)
-    groups = simhash.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = groups.select(F.col("doc_id").alias("kept_id")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+    return simhash.keep_first_of_groups(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import append_columns
+from tallyhouse.llm.common import append_columns, text_of
 from tallyhouse.llm.components import connected_components
 from tallyhouse.sources.staging import stage
 
@@ -231,6 +231,39 @@ def fingerprint_links(distinct: DataFrame, fp: str = "fp") -> DataFrame:
     return cells.mapInArrow(_cell_links, LINKS_SCHEMA)
 
 
+def _grouped(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``doc_id``, ``digest`` (of the text) and ``fp``, and each ``fp`` with the ``first`` row of its component.
+
+    The first row is the one with the smallest id, missing ones last, then with the smallest digest.
+    """
+    narrow = df.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(text_of(f"`{text}`")).alias("digest"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    rows = stage(fingerprints(narrow), "fingerprints")
+    at = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "digest")
+    distinct = stage(rows.groupBy("fp").agg(F.min(at).alias("least")), "distinct-fingerprints")
+    roots = connected_components(fingerprint_links(distinct).select("a", "b"))
+    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = named.groupBy("root").agg(F.min("least").alias("first"))
+    return rows, named.join(first, "root").select("fp", "first")
+
+
+def keep_first_of_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of which each is the first of its group of near copies, with all their columns.
+
+    The first row of a group has its smallest id; missing ids sort last and are told apart by a digest of
+    the text, so that different texts without an id all stay. Rows that repeat id and text are one row.
+    """
+    _, groups = _grouped(df, doc_id, text)
+    parts = lambda i, digest: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("-")), F.hex(digest))
+    first = groups.select(parts(F.col("first.doc_id"), F.col("first.digest")).alias("key")).distinct()
+    key = parts(F.col(f"`{doc_id}`").cast("long"), F.xxhash64(text_of(f"`{text}`")))
+    held = df.select(key.alias("key"), F.struct(*[f"`{c}`" for c in df.columns]).alias("r"))
+    kept = held.join(first, "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*[F.col(f"r.`{c}`").alias(c) for c in df.columns])
+
+
 def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``fingerprint`` (hexadecimal) and ``component_id``.
 
@@ -239,13 +272,7 @@ def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     linked like any other. A missing ``doc_id`` is only a component's id where all its ids are missing.
     Repeated rows come as often as they are given; an empty table gives none; other columns are not read.
     """
-    narrow = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = stage(fingerprints(narrow), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = connected_components(fingerprint_links(distinct).select("a", "b"))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = named.join(least, "root").select("fp", "component_id")
+    rows, groups = _grouped(df, doc_id, text)
     return rows.join(groups, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id")
     )

@@ -90,6 +90,18 @@ def test_near_copies_of_odd_texts(spark):
     assert [r[2] for r in near(documents(spark, ["x y z", "x y z", "x y z"], ids=[4, 4, 2]))] == [2, 2, 2]
 
 
+def test_first_rows_of_near_groups_stay_also_without_ids(spark):
+    texts = ["a b c d", "a b c d", "other words here", "once more others", None, "", "a b c d", "e f g h", "i j k l"]
+    docs = with_clashing_columns(documents(spark, texts, ids=[3, 1, None, None, 8, None, None, 5, 5]))
+    kept = simhash.keep_first_of_groups(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([
+        (1, "a b c d"), (None, "other words here"), (None, "once more others"), (8, None), (5, "e f g h"), (5, "i j k l"),
+    ], key=repr)
+    assert simhash.keep_first_of_groups(documents(spark, [])).count() == 0
+
+
 def test_long_text_is_voted_in_slices(monkeypatch):
     text = " ".join(f"w{k % 97}" for k in range(1000))
     monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 64)
