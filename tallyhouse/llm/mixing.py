@@ -210,7 +210,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED):
     """Tables of the mix: ``rows`` (one per document), ``sources`` and ``draws`` (one per document taken).
 
-    ``rows`` has ``row``, ``key`` (id and text), ``doc_id``, ``src``, ``size`` in words. ``sources`` has ``src``,
+    ``rows`` has ``row``, ``key`` (id, text and source), ``doc_id``, ``src``, ``size`` in words. ``sources`` has ``src``,
     ``source_size``, ``target``. ``draws`` has ``row``, ``key``, ``size``, ``shard`` and ``place`` (its order in the
     shard): a document comes once per pass over its source, and once more if drawn. Only these narrow
     tables are shuffled. All choices are hashes of seed, id and text, so reruns agree.
@@ -223,7 +223,7 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     rows = stage(
         base.select(
             F.monotonically_increasing_id().alias("row"),
-            F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex(digest)).alias("key"),
+            F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex(F.xxhash64("text", "src"))).alias("key"),
             "doc_id", "src", F.regexp_count("text", F.lit(WORDS)).cast("long").alias("size"),
             F.xxhash64(F.lit(seed), "doc_id", digest, "src").alias("mix"),
         ),
@@ -273,12 +273,12 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     """The mixed table: every row as often as the mix takes it, dealt to shards and shuffled in them.
 
     A task of the result holds whole shards, each in its own random order; ``shard`` and ``place`` are
-    dropped, other columns stay. Rows that repeat id and text are told apart only by number: their draws
-    are added up and given to one of them.
+    dropped, other columns stay. Rows that repeat id, text and source are told apart only by number: their
+    draws are added up and given to one of them.
     """
     _, _, draws = plan_mix(df, doc_id, text, source, seed)
-    body = text_of(f"`{text}`")
-    key = F.concat_ws(":", F.coalesce(F.col(f"`{doc_id}`").cast("long").cast("string"), F.lit("-")), F.hex(F.xxhash64(body)))
+    content = F.xxhash64(text_of(f"`{text}`"), source_key(F.col(f"`{source}`")))
+    key = F.concat_ws(":", F.coalesce(F.col(f"`{doc_id}`").cast("long").cast("string"), F.lit("-")), F.hex(content))
     held = df.select(key.alias("key"), F.struct(*[f"`{c}`" for c in df.columns]).alias("r")).dropDuplicates(["key"])
     return (
         draws.join(held, "key")

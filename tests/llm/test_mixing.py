@@ -121,3 +121,11 @@ def test_quotas_of_the_tree_add_up(spark):
         per_shard[r.shard] += r["last"] - r["first"] + 1
     assert {s: sorted(v) for s, v in by_source.items()} == {"=a": list(range(70)), "=b": [0], "=c": list(range(29))}
     assert set(per_shard) == set(range(7)) and max(per_shard.values()) - min(per_shard.values()) <= 2
+
+
+def test_same_id_and_text_in_two_sources_keep_their_sources(spark):
+    docs = documents(spark, ["w x y"] * 2 + ["v " * 9] * 2, ids=[1, 1, 2, 3], sources=["a", "b", "a", "b"])
+    pick = lambda df: {(r.doc_id, r.source) for r in df.collect()}
+    report = sum(r["taken"] for r in rows_of(mixing.mix_report(docs)))
+    mixed = mixing.mix(docs)
+    assert pick(mixed) <= pick(docs) and sum(len(r.text.split()) for r in mixed.collect()) == report
