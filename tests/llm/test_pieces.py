@@ -111,3 +111,12 @@ def _length(n):
         out += bytes([n & 127 | 128])
         n >>= 7
     return out + bytes([n])
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_BYTES", 1000)
+    encoder = pieces.PieceEncoder(PATH)
+    for k in range(20):
+        text = f"{k}" + "日本語" * 100
+        assert list(encoder.encode([text])[0][0]) == LIBRARY.encode(text)
+        assert len(encoder.segments) == 1
