@@ -76,7 +76,7 @@ def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = chunks.remove_repeated_chunks(read(spark, sf_dir, "documents"))
+    cleaned = chunks.remove_repeated_chunks(read(spark, sf_dir, "documents"), run_words=chunks.RUN_WORDS)
     return cleaned.select(
         "doc_id",
         "removed_lines",

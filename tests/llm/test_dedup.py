@@ -250,3 +250,66 @@ def test_repeated_chunks_of_odd_rows(spark):
     # Rows equal in everything are one document; another text under the same id is not.
     twice = deduped(documents(spark, [text, text, "y\n" + text], ids=[5, 5, 5], sources=["s", "s", "s"]))
     assert sorted(r[2] for r in twice)[0] == 0 and sum(r[2] == 0 for r in twice) in (1, 2)
+
+
+def runs_by_hand(lines, words):
+    """Starts and ends of all runs of lines that have so many words and cannot lose a line."""
+    weights = [max(1, len(x.split())) for x in lines]
+    out = set()
+    for a in range(len(lines)):
+        for b in range(a + 1, min(len(lines), a + words) + 1):
+            n = sum(weights[a:b])
+            if n >= words and (n - weights[a] < words or n - weights[b - 1] < words):
+                out.add((a, b))
+    return out
+
+
+def dedup_with_runs_by_hand(rows, words):
+    first, spans = {}, {}
+    for i, text in sorted(rows):
+        lines, at, here = text.split("\n"), 0, runs_by_hand(text.split("\n"), words)
+        for c in chunks_by_hand(text):
+            here |= {(at, at + len(c))} if len(c) > 1 else set()
+            at += len(c)
+        spans[i] = here
+        for a, b in sorted(here):
+            first.setdefault("\n".join(lines[a:b]), (i, a, b))
+    out = []
+    for i, text in sorted(rows):
+        lines, gone = text.split("\n"), set()
+        for a, b in spans[i]:
+            j, _, end = first["\n".join(lines[a:b])]
+            if j < i or end <= a:
+                gone |= set(range(a, b))
+        out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text, len(gone)))
+    return out
+
+
+def deduped_with_runs(df, words=chunks.RUN_WORDS):
+    return sorted((r.doc_id, r.text, r.removed_lines) for r in chunks.remove_repeated_chunks(df, run_words=words).collect())
+
+
+def test_repeated_passages_of_few_long_lines_go_between_other_neighbours(spark):
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    texts = []
+    for m, n in [(1, 50), (2, 30), (3, 20), (8, 7)]:
+        passage = [line(n) for _ in range(m)]
+        texts += ["\n".join([line(9), *passage, line(9), line(9)]) for _ in range(3)]
+        texts.append("\n".join(passage))
+    found = deduped_with_runs(documents(spark, texts))
+    assert [r[2] for r in found] == [x for m in (1, 2, 3, 8) for x in (0, m, m, m)]
+    assert found == dedup_with_runs_by_hand(list(enumerate(texts)), chunks.RUN_WORDS)
+    short = "\n".join(["a b c"] * 3)
+    assert [r[2] for r in deduped_with_runs(documents(spark, [f"x\n{short}\ny", f"z\n{line(49)}\nq", None, ""]))] == [0] * 4
+
+
+def test_runs_of_generated_and_given_documents_and_of_equal_lines(spark):
+    texts, _ = passages()
+    assert deduped_with_runs(documents(spark, texts), 20) == dedup_with_runs_by_hand(list(enumerate(texts)), 20)
+    texts = ["x\n" * 300, "a\n" + "x\n" * 120, "\n".join(["one two three"] * 40)]
+    assert deduped_with_runs(documents(spark, texts)) == dedup_with_runs_by_hand(list(enumerate(texts)), chunks.RUN_WORDS)
+    rows = [(r.doc_id, r.text) for r in given(spark).collect()]
+    by_runs, plain = deduped_with_runs(given(spark)), dedup_by_hand(rows)
+    assert by_runs == dedup_with_runs_by_hand(rows, chunks.RUN_WORDS)
+    assert all(a[2] >= b[2] for a, b in zip(by_runs, plain)) and sum(a[2] for a in by_runs) > sum(b[2] for b in plain)
