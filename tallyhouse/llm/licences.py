@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import text_of
+from tallyhouse.llm.sketches import let
 from tallyhouse.sources.staging import stage
 
 THRESHOLD = 0.8
@@ -41,6 +42,25 @@ TEMPLATES = (
             "associated documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *[
+        (name, f"{work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} "
+               f"License as published by the Free Software Foundation, either version {version} of the License, or (at your "
+               "option) any later version.")
+        for name, work, mark, kind, version in (
+            ("GPL-2.0", "This program", ";", "General Public", "2"),
+            ("GPL-3.0", "This program", ":", "General Public", "3"),
+            ("LGPL-2.1", "This library", ";", "Lesser General Public", "2.1"),
+            ("LGPL-3.0", "This program", ":", "Lesser General Public", "3"),
+            ("AGPL-3.0", "This program", ":", "Affero General Public", "3"),
+        )
+    ],
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the Software), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
 )
 
 
@@ -75,7 +95,44 @@ def required_terms(templates, idf: dict[str, float], threshold: float) -> set[st
     return needed
 
 
-def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def _windows(lines: Column, templates, idf: dict[str, float], threshold: float) -> Column:
+    """Array of (``block``, ``unit``, ``terms``): runs of terms as long as a template that may be that template.
+
+    Each term that a template requires, wherever it stands in the file, puts the template there with that term in its
+    place, across line ends and comment marks. ``block`` is the line of the first term, ``unit`` tells runs apart.
+    """
+    places: dict[str, list[tuple[int, int]]] = {}
+    for name, text in templates:
+        order = re.findall(TERM.replace(r"\p{L}", "a-z"), text.lower())
+        for t in required_terms([(name, text)], idf, threshold):
+            places.setdefault(t, []).extend((q, len(order)) for q, x in enumerate(order) if x == t)
+    listed = F.create_map(*[
+        x for t, at in sorted(places.items())
+        for x in (F.lit(t), F.array(*[F.struct(F.lit(q).alias("q"), F.lit(n).alias("n")) for q, n in sorted(set(at))]))
+    ])
+    names = sorted(places)
+    terms = F.flatten(F.transform(lines, lambda x, k: F.transform(terms_of(x), lambda w: F.struct(w.alias("w"), k.alias("line")))))
+
+    def found(all_terms: Column) -> Column:
+        indexed = F.transform(all_terms, lambda x, i: F.struct(x["w"].alias("w"), i.alias("i")))
+        hits = F.filter(indexed, lambda x: x["w"].isin(names))
+        units = F.array_distinct(F.flatten(F.transform(hits, lambda x: F.transform(
+            F.element_at(listed, x["w"]),
+            lambda p: F.shiftleft(F.greatest(x["i"] - p["q"], F.lit(0)).cast("long"), 16).bitwiseOR(p["n"].cast("long")),
+        ))))
+        start = lambda u: F.shiftright(u, 16).cast("int")
+        return F.transform(units, lambda u: F.struct(
+            F.get(all_terms, start(u))["line"].alias("block"),
+            u.alias("unit"),
+            F.transform(F.slice(all_terms, start(u) + 1, u.bitwiseAND(F.lit(65535)).cast("int")), lambda x: x["w"]).alias("terms"),
+        ))
+
+    return let(terms, found)
+
+
+def scan_licences(
+    df: DataFrame, path: str, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD, windows: bool = False
+) -> DataFrame:
     """``path``, ``licence``, ``score`` and ``block`` of the files that state a licence themselves.
 
     Every line of a file, and the file as a whole (block -1), is a sparse vector of terms weighted by
@@ -85,6 +142,9 @@ def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLA
     threshold are left out, for lack of any of the terms it requires or for the weight of their unknown
     words, which loses nothing. What reaches the driver is a count for each template term.
 
+    With ``windows``, runs of terms as long as a template are blocks too, numbered by the line in which they
+    begin: a notice that is wrapped over commented lines, or that shares its line with other sentences.
+
     Missing texts are empty and state nothing. Rows that share a path are one file with several texts:
     their best block counts. Other columns are not read.
     """
@@ -130,15 +190,19 @@ def scan_licences(df: DataFrame, path: str, text: str = "text", templates=TEMPLA
         vectors += [(t, n, name, w / length) for t, w in weights.items()]
     templated = spark.createDataFrame(vectors, "term string, template int, licence string, share double")
 
-    blocks = blocks.withColumn("terms", terms_of(F.col("body"))).where(can_reach(F.col("terms")))
+    blocks = blocks.select("key", "path", "block", F.lit(-1).cast("long").alias("unit"), terms_of(F.col("body")).alias("terms"))
+    if windows:
+        runs = _windows(F.split("text", "\n", -1), templates, idf, threshold)
+        blocks = blocks.unionByName(open_files.select("key", "path", F.inline(runs)))
+    blocks = blocks.where(can_reach(F.col("terms")))
     terms = stage(  # read twice below
-        blocks.select("key", "path", "block", F.explode("terms").alias("term"))
-        .groupBy("key", "path", "block", "term")
+        blocks.select("key", "path", "block", "unit", F.explode("terms").alias("term"))
+        .groupBy("key", "path", "block", "unit", "term")
         .agg(F.count(F.lit(1)).alias("n")),
         "block-terms",
     )
     terms = terms.join(rarities, "term", "left").withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(unknown)))
-    of = ["key", "block"]
+    of = ["key", "block", "unit"]
     lengths = terms.groupBy(*of).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     products = terms.join(templated, "term").groupBy(*of, "path", "template", "licence")
     products = products.agg(F.sum(F.col("weight") * F.col("share")).alias("product"))
@@ -157,7 +221,7 @@ def directory_of(path: Column) -> Column:
 
 
 def licence_of_files(
-    df: DataFrame, path: str, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD
+    df: DataFrame, path: str, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD, windows: bool = False
 ) -> DataFrame:
     """One row per path: its own licence, or that of the nearest directory above it that has a licence file.
 
@@ -169,7 +233,7 @@ def licence_of_files(
     ``origin`` is ``own``, ``inherited`` or null where there is none. Rows that share a path are one file;
     a missing path is one file without a directory, which inherits nothing.
     """
-    own = stage(scan_licences(df, path, text, templates, threshold), "own-licences")
+    own = stage(scan_licences(df, path, text, templates, threshold, windows), "own-licences")
     name = F.regexp_replace(F.col("path"), r"^.*/", "")
     holders = own.where(name.rlike(LICENCE_FILE)).withColumn("directory", directory_of(F.col("path")))
     best = F.min(F.struct((-F.col("score")).alias("s"), F.col("path").alias("p"), "licence")).alias("b")

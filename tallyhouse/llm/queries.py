@@ -69,7 +69,7 @@ def with_paths(documents: DataFrame) -> DataFrame:
 @query
 def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = with_paths(read(spark, sf_dir, "documents"))
-    return licences.licence_of_files(files, "path").select(
+    return licences.licence_of_files(files, "path", windows=True).select(
         "path", "licence", "origin", "score", "block", "licence_directory"
     )
 

@@ -99,3 +99,50 @@ def test_required_terms_lose_nothing():
         terms = licences.template_terms(text)
         rest = sum((n * idf[t]) ** 2 for t, n in terms.items() if t not in needed)
         assert rest < 0.64 * sum((n * idf[t]) ** 2 for t, n in terms.items())
+
+
+def test_wrapped_headers_and_licence_files_reach_the_threshold(spark):
+    code = "\n".join(f"value_{k} = compute_{k}(argument_{k}, other_{k})" for k in range(60))
+    mit = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+    bsd = """# Copyright (c) 2020, Jane Doe
+# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+"""
+    gpl = """/* This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version {0} of the License, or
+ * (at your option) any later version. */
+"""
+    apache = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+"""
+    title = "  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n"
+    texts = {
+        "m": mit, "b": bsd, "g3": gpl.format(3), "g2": gpl.format(2), "a": apache, "t": title,
+        "l": gpl.format(3).replace("GNU General", "GNU Lesser General"),
+        "c": "Copyright (c) 2020 Jane Doe. Licensed under CC BY 4.0.", "n": "nothing is said here about permission",
+    }
+    df = spark.createDataFrame([(k, t + "\n" + code) for k, t in texts.items()], "path string, text string").repartition(3)
+    result = found(df, windows=True)
+    assert {p: r[0] for p, r in result.items()} == {
+        "m": "MIT", "b": "BSD-3-Clause", "g3": "GPL-3.0", "g2": "GPL-2.0", "l": "LGPL-3.0", "a": "Apache-2.0", "t": "Apache-2.0",
+        "c": "CC-BY-4.0", "n": None,
+    }
+    assert result["b"][3] == 1 and result["m"][3] == 4 and result["c"][2:4] == (1.0, 0)
+
+
+def test_windows_only_add_to_lines_and_whole_texts(spark):
+    files = with_paths(given(spark))
+    plain, wide = found(files), found(files, windows=True)
+    own = {p: r for p, r in plain.items() if r[1] == "own"}
+    assert own and all(wide[p][1] == "own" and wide[p][2] >= r[2] for p, r in own.items())
