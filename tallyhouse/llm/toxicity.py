@@ -106,13 +106,16 @@ def fit_ordinal(rows: list[np.ndarray], values: list[np.ndarray], grades: np.nda
 def labelled_sample(df: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     """``text`` and ``toxic`` of at most ``limit`` labelled rows, the same ones whenever the labels are.
 
-    The bounded list of ids goes to the texts, so that no text is shuffled. The sample is staged: fitting
-    reads it several times, and the table of texts is read only once.
+    The bounded list of ids goes to the texts, so that only texts of the sample are shuffled. Of rows that repeat
+    an id, the one whose text has the smallest digest counts; each task sends one per id. The sample is staged:
+    fitting reads it several times, and the table of texts is read only once.
     """
     flags = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     some = flags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return stage(texts.join(F.broadcast(some), "doc_id").select("text", "toxic"), "labelled-sample")
+    least = F.min(F.struct(F.xxhash64("text").alias("digest"), "text")).alias("least")
+    one = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(least)
+    return stage(one.select("least.text", "toxic"), "labelled-sample")
 
 
 def fit_toxicity(sample: DataFrame) -> OrdinalModel:

@@ -73,3 +73,11 @@ def test_sample_is_bounded_and_the_same_for_any_partitioning(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() == 20
     one, two = toxicity.fit_toxicity(a), toxicity.fit_toxicity(b)
     assert one.weights == two.weights
+
+
+def test_rows_that_repeat_a_labelled_id_count_once(spark):
+    docs = documents(spark, [f"text {k}" for k in range(200)] + ["same"] * 50 + [None, "z"], ids=[7] * 200 + [8] * 50 + [9, 10])
+    sample = toxicity.labelled_sample(docs, labels(spark, [(7, 1), (8, 0), (9, 0)]))
+    again = toxicity.labelled_sample(docs.repartition(7), labels(spark, [(7, 1), (8, 0), (9, 0)]))
+    rows = sorted(map(tuple, sample.collect()))
+    assert len(rows) == 3 and rows[:2] == [("", 0), ("same", 0)] and rows == sorted(map(tuple, again.collect()))
