@@ -21,6 +21,40 @@ SLICE_BYTES = 4 << 20
 BLOCK = 1024
 
 
+# What an entry of a cache takes besides its bytes: key, tuple and two byte strings, and its place in the table.
+ENTRY_BYTES = 320
+
+
+class Recent:
+    """What was worked out for byte strings, in two generations of half the bound each.
+
+    When the young one is full it becomes the old one, and the old one is let go; what is asked for again
+    moves to the young one. So the memory is bounded, and frequent entries stay. One that has grown beyond
+    the whole bound is let go at once.
+    """
+
+    def __init__(self, bound: int, most: int = 1 << 40):
+        self.bound, self.most, self.size = bound, most, 0
+        self.young: dict[bytes, object] = {}
+        self.old: dict[bytes, object] = {}
+
+    def missing(self, wanted: set[bytes]) -> list[bytes]:
+        """Those not known; all others are in ``young`` after this, until the next call."""
+        if self.size > self.bound // 2 or len(self.young) > self.most // 2:
+            self.young, self.old, self.size = {}, self.young if self.size <= self.bound else {}, 0
+        new = wanted - self.young.keys()
+        for key in new & self.old.keys():
+            self.put(key, self.old[key])
+        return list(new - self.old.keys())
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def put(self, key: bytes, value) -> None:
+        self.young[key] = value
+        self.size += ENTRY_BYTES + len(key) + (len(value) if isinstance(value, bytes) else sum(map(len, value)))
+
+
 def text_of(name: str = "text") -> Column:
     """The text, where missing counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -10,11 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import append_columns
+from tallyhouse.llm.common import Recent, append_columns
 
 BLANK = "▁"  # what stands for a space in pieces
-CACHED_SEGMENTS = 1_000_000
-CACHED_BYTES = 64 << 20  # of segments, ids and sizes together, so that texts without spaces cannot fill the memory
+CACHED_BYTES = 64 << 20  # of segments, ids and sizes with what Python objects take
 
 FIELDS = [
     T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -149,7 +148,7 @@ class PieceEncoder:
 
     A segment is a run of spaces and what follows up to the next space. Where no piece of the model
     has a blank after another character, and the normaliser only escapes spaces, segments never
-    interact: each distinct one is encoded once and kept (up to ``CACHED_SEGMENTS`` and ``CACHED_BYTES``). Otherwise, for
+    interact: each distinct one is encoded once and kept (the last used, up to ``CACHED_BYTES``). Otherwise, for
     models without byte pieces, and for texts that hold the blank sign itself, whole texts are encoded.
     """
 
@@ -174,8 +173,7 @@ class PieceEncoder:
         self.blank = names.index(BLANK) if BLANK in names else None
         free = not any(k == 4 or re.search(f"[^{BLANK}]{BLANK}", n) for n, k in zip(names, kinds))
         self.by_segment = self.normalise.plain and free and 6 in kinds and self.blank is not None
-        self.segments: dict[bytes, tuple[bytes, bytes]] = {}
-        self.cached_bytes = 0
+        self.segments = Recent(CACHED_BYTES)
 
     def _widths(self, ids: np.ndarray, text: str) -> np.ndarray:
         """Normalised bytes of each piece."""
@@ -200,7 +198,7 @@ class PieceEncoder:
         ends = np.cumsum(self.width[ids])
         at = places[np.concatenate([[0], ends])] + 1  # the space in front is the blank put in front
         at[0] = 0
-        self.segments[segment] = ids.astype("<i4").tobytes(), np.diff(at).astype("<i4").tobytes()
+        self.segments.put(segment, (ids.astype("<i4").tobytes(), np.diff(at).astype("<i4").tobytes()))
 
     def _learn(self, segments: list[bytes]) -> None:
         # After one space, all of a segment stands for itself in a plain normaliser.
@@ -214,9 +212,9 @@ class PieceEncoder:
             ids, sizes = ids.astype("<i4").tobytes(), sizes.astype("<i4").tobytes()
             begins = (cuts * 4).tolist()
             for s, b, e in zip(part, begins, [*begins[1:], len(ids)], strict=True):
-                self.segments[s] = ids[b:e], sizes[b:e]
+                self.segments.put(s, (ids[b:e], sizes[b:e]))
         for s in segments:
-            if s not in self.segments:
+            if s not in self.segments.young:
                 self._keep(s, np.array(self.model.encode(s[1:].decode()) or [self.blank], np.int32))
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -224,13 +222,8 @@ class PieceEncoder:
         raw = [b" " + t.encode() for t in texts]
         mark = BLANK.encode()
         cut = [re.findall(rb" +[^ ]*", r) if self.by_segment and t and mark not in r else None for r, t in zip(raw, texts)]
-        if len(self.segments) > CACHED_SEGMENTS or self.cached_bytes > CACHED_BYTES:
-            self.segments.clear()
-            self.cached_bytes = 0
-        new = list(set().union(*[c for c in cut if c]) - self.segments.keys())
-        self._learn(new)
-        get = self.segments.__getitem__
-        self.cached_bytes += sum(len(s) + sum(map(len, get(s))) for s in new)
+        self._learn(self.segments.missing(set().union(*[c for c in cut if c])))
+        get = self.segments.young.__getitem__
         found = []
         for text, parts in zip(texts, cut):
             if parts is None:

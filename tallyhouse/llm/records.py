@@ -8,6 +8,7 @@ number of ids (four bytes) and the ids, two bytes each where the vocabulary allo
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import SLICE_BYTES, filesystem, slices, sums_before, text_of
+from tallyhouse.llm.common import SLICE_BYTES, Recent, filesystem, slices, sums_before, text_of
 from tallyhouse.sources.staging import new_path
 
 # CRC-32C (Castagnoli), reflected, and the mask that record files put on it: fixed values.
@@ -28,7 +29,16 @@ MASK_DELTA = 0xA282EAD8
 ROW = 256  # bytes of one row when checksums are computed side by side
 READ_BYTES = 16 << 20
 CACHED_WORDS = 1_000_000
-CACHED_BYTES = 64 << 20  # of words and ids together, so that texts without spaces cannot fill the memory
+CACHED_BYTES = 256 << 20  # of known words, and a quarter of it of their parts, with what Python objects take
+
+# Fixed value: how the given tokenizer cuts words into parts before it looks for pairs.
+CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# Latin letters beyond ASCII, U+00C0 to U+024F in UTF-8, without the two signs among them and the capital I with a
+# dot, whose lower-case form has two characters.
+LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f]"
+# Words of these letters and printable ASCII without an apostrophe, and their parts where a tokenizer cuts like this.
+PLAIN = re.compile(rb"(?:[!-&(-~]|" + LATIN + rb")+")
+PARTS = re.compile(rb"(?:[a-z]|" + LATIN + rb")+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 INDEX_SCHEMA = (
     "doc_id long, part long, ordinal long, file string, offset long, length long, tokens_before long, n_tokens long"
@@ -95,8 +105,10 @@ class WordEncoder:
     """Ids of texts from a tokenizer file, equal to the library's encoding of the whole text.
 
     Where the tokenizer drops white space and so never joins words, each distinct word is encoded
-    once and its ids are kept (up to ``CACHED_WORDS`` and ``CACHED_BYTES``); a special token separates the new words of one
-    call. Other tokenizers, and texts that hold a special token, are encoded whole.
+    once and its ids are kept (the last used, up to ``CACHED_WORDS`` and ``CACHED_BYTES``). Where it lower-cases and
+    cuts words in the known way, a new word of plain characters is put together from its parts: those are far fewer,
+    since marks around a word make no other part. Other tokenizers, and texts that hold a special token, are
+    encoded whole.
     """
 
     def __init__(self, path: str):
@@ -114,13 +126,19 @@ class WordEncoder:
         )
         drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
         self.by_word = bool(self.special and collapses and drops)
-        self.words: dict[bytes, bytes] = {}
-        self.cached_bytes = 0
+        lowers = any(n.get("type") == "Lowercase" for n in (plan.get("normalizer") or {}).get("normalizers", []))
+        self.by_part = self.by_word and lowers and first.get("pattern") == {"Regex": CUT}
+        self.words, self.parts = Recent(CACHED_BYTES, CACHED_WORDS), Recent(CACHED_BYTES // 4, CACHED_WORDS)
+        suffix = plan["model"].get("end_of_word_suffix") or "\0"
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for t, i in names.items() if t.endswith(suffix)]] = True
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _ask(self, words: list[bytes], known: Recent) -> None:
+        """Have the library encode new words, with a special token between them."""
         separator = self.special[0].decode()
         mark = self.tokenizer.token_to_id(separator)
         size = self.dtype.itemsize
@@ -132,20 +150,40 @@ class WordEncoder:
             raw = ids.tobytes()
             begins = [0, *(cuts + size).tolist()]
             for w, b, e in zip(part, begins, [*cuts.tolist(), len(raw)], strict=True):
-                self.words[w] = raw[b:e]
+                known.put(w, raw[b:e])
+
+    def _ask_parts(self, parts: list[bytes]) -> None:
+        """Parts end with the only token of theirs that ends a word, so that a space between them will do."""
+        size = self.dtype.itemsize
+        for a in range(0, len(parts), 512):
+            some = parts[a : a + 512]
+            found = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            ids = np.array(found, self.dtype)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * size
+            if len(cuts) != len(some):
+                self._ask(some, self.parts)
+                continue
+            raw = ids.tobytes()
+            for w, b, e in zip(some, [0, *cuts.tolist()], cuts.tolist()):
+                self.parts.put(w, raw[b:e])
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if PLAIN.fullmatch(w)] if self.by_part else []
+        self._ask(list(set(words).difference(plain)), self.words)
+        parts = [PARTS.findall(w) for w in plain]
+        self._ask_parts(self.parts.missing(set().union(*parts)))
+        get = self.parts.young.__getitem__
+        for w, p in zip(plain, parts):
+            self.words.put(w, b"".join(map(get, p)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as packed whole numbers."""
         raw = [t.encode() for t in texts]
-        whole = [not self.by_word or any(s in r for s in self.special) for r in raw]
-        split = [[] if w else r.split() for r, w in zip(raw, whole)]
-        if len(self.words) > CACHED_WORDS or self.cached_bytes > CACHED_BYTES:
-            self.words.clear()
-            self.cached_bytes = 0
-        new = set().union(*split) - self.words.keys()
-        self._learn(list(new))
-        get = self.words.__getitem__
-        self.cached_bytes += sum(len(w) + len(get(w)) for w in new)
+        low = [r.lower() for r in raw] if self.by_part else raw
+        whole = [not self.by_word or any(s in r or s in x for s in self.special) for r, x in zip(raw, low)]
+        split = [[] if w else x.split() for x, w in zip(low, whole)]
+        self._learn(self.words.missing(set().union(*split)))
+        get = self.words.young.__getitem__
         return [self._whole(t) if w else b"".join(map(get, s)) for t, w, s in zip(texts, whole, split)]
 
 

@@ -1,6 +1,9 @@
 import zlib
 
 import numpy as np
+from hypothesis import given as examples
+from hypothesis import settings
+from hypothesis import strategies as st
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +103,33 @@ def test_sums_before_over_many_blocks(spark, monkeypatch):
     for k in range(5000):
         assert found[k * 3] == total
         total += k % 7
+
+
+def test_words_are_put_together_from_parts():
+    e = records.WordEncoder(PATH)
+    assert e.by_part
+    texts = ["Hello, WORLD! (hello) x86_64 don't DON'T 'tis a--b 3.14 <tag> \x01a\x1cb É,é 日本,x a b İA ~!@#$%^&*()_+", "hello,,, HELLO" * 50]
+    for t in texts * 2:
+        assert np.frombuffer(e.encode([t])[0], "<u2").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+    assert b"hello" in e.parts.young and b"hello," in e.words.young and b"Hello," not in e.words.young
+    for t in ("é<|STARTOFTEXT|>a", "<|StartOfText|> b", "<|endoftext|>", "a'S it'S", "\x7f a\x7fb"):
+        assert np.frombuffer(e.encode([t])[0], "<u2").tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@examples(st.text(st.one_of(st.sampled_from("aA zZ'st.,09é\t\n\x00\x1c\x85\u0130\u0131\u03a3\u0301\xd7\xf7\xdf\u0149\u01c5\u024f\u0250<|>"), st.characters(exclude_categories=["Cs"])), max_size=30))
+def test_any_text_is_encoded_as_the_library_does(text):
+    e = records.encoder(PATH)
+    assert np.frombuffer(e.encode([text])[0], "<u2").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_generations_keep_what_is_used_within_the_bound():
+    from tallyhouse.llm.common import ENTRY_BYTES, Recent
+
+    known = Recent(100 * (ENTRY_BYTES + 10))
+    for k in range(1000):
+        wanted = {b"often", b"%05d" % k}
+        for key in known.missing(wanted):
+            known.put(key, b"12345")
+        assert wanted <= known.young.keys() and len(known) <= 103
+    assert known.missing({b"often", b"00001"}) == [b"00001"]
