@@ -26,8 +26,8 @@ TOP = 2000
 SCALE = 1_000_000
 UNKNOWN_LANGUAGE = "und"
 
-FLUSH_BYTES = 8 << 20  # of text that one set of stripes covers
-SHARDS = 32  # parts of a stripe, by the word that follows, so that no frequent word has one large stripe
+FLUSH_BYTES = 16 << 20  # of text that one set of stripes covers
+SHARDS = 8  # parts of a stripe, by the word that follows, so that no frequent word has one large stripe
 MERGE_BYTES = 4 << 20
 
 # Piece ends become a byte that no text holds; a tab separates words as a space does.
