@@ -20,7 +20,8 @@ LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 
-ENTRIES = 200_000  # counters are handed on when they hold as many
+ENTRIES = 400_000  # counters are handed on when they hold as many
+ROWS = 1 << 16  # rows of two tiles that wait for a comparison
 SHARD_TERMS = 4096  # neighbouring terms of one transducer
 SALTS = 8  # copies of each transducer, so that often used neighbours are counted by several tasks
 TILE = 256  # sources that one block of pairs compares with as many others
@@ -106,7 +107,7 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
     begins: dict[str, list[bytes]] = {}
     for r in kept.where(F.col("ord") % SHARD_TERMS == 0).orderBy("lang", "ord").toLocalIterator():
         begins.setdefault(r.lang, []).append(r.term.encode())
-    schema = "lang string, shard int, salt int, ord long, term string, source string, count long"
+    schema = "lang string, shard int, salt int, ord long, term string, sources array<string>, counts array<long>"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,15 +115,26 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
         counts: dict[tuple[str, str], Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (language, source), c in counts.items():
-                starts = begins.get(language, [])
-                terms = list(c)
-                shards = np.array([bisect_right(starts, t) - 1 for t in terms], np.int32)
+            """One row per language and term, with its count in each source."""
+            for language in {g for g, _ in counts}:
+                own = [(source, c) for (g, source), c in counts.items() if g == language and c]
+                if not own or language not in begins:
+                    continue
+                coded = pa.array([t for _, c in own for t in c], pa.binary()).dictionary_encode()
+                code = coded.indices.to_numpy()
+                order = np.argsort(code, kind="stable")
+                terms = coded.dictionary
+                offsets = pa.array(np.append(0, np.cumsum(np.bincount(code, minlength=len(terms)))).astype(np.int32))
+                place = np.repeat(np.arange(len(own)), [len(c) for _, c in own])[order]
+                values = np.array([v for _, c in own for v in c.values()], np.int64)[order]
+                sources = pa.array([source for source, _ in own], pa.string()).take(pa.array(place))
+                starts = begins[language]
+                shards = np.array([bisect_right(starts, t) - 1 for t in terms.to_pylist()], np.int32)
                 n = len(terms)
                 made = pa.RecordBatch.from_arrays(
                     [pa.array([language] * n, pa.string()), pa.array(shards), pa.array(np.full(n, salt, np.int32)),
-                     pa.array(np.full(n, -1)), pa.array(terms, pa.binary()).cast(pa.string()),
-                     pa.array([source] * n, pa.string()), pa.array(list(c.values()), pa.int64())],
+                     pa.array(np.full(n, -1)), terms.cast(pa.string()), pa.ListArray.from_arrays(offsets, sources),
+                     pa.ListArray.from_arrays(offsets, pa.array(values))],
                     names,
                 )
                 yield made.filter(pa.array(shards >= 0))
@@ -141,11 +153,12 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     words = docs.mapInArrow(count, schema)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    terms = kept.select("lang", "shard", salts, "ord", "term", F.lit(None).cast("string").alias("source"), F.lit(0).cast("long").alias("count"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("sources", "array<string>"), ("counts", "array<bigint>"))]
+    terms = kept.select("lang", "shard", salts, "ord", "term", *none)
     key = ["lang", "shard", "salt"]
     # Terms of a range come before what is counted in it: those have no ordinal yet.
     rows = terms.union(words).repartition(*key).sortWithinPartitions(*key, F.col("ord") < 0, "ord")
-    out = ["lang", "source", "ord", "count"]
+    out = ["lang", "ord", "sources", "counts"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, base, built, waiting = None, 0, None, []
@@ -167,11 +180,12 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
                 part = part.slice(n)
                 found = built.ordinals(part.column("term").cast(pa.binary()))
                 hit = pa.array(found >= 0)
-                columns = [part.column("lang"), part.column("source"), pa.array(found + base), part.column("count")]
+                columns = [part.column("lang"), pa.array(found + base), part.column("sources"), part.column("counts")]
                 yield pa.RecordBatch.from_arrays([c.filter(hit) for c in columns], out)
 
-    hits = rows.mapInArrow(walk, "lang string, source string, ord long, count long")
-    return hits.groupBy("lang", "source", "ord").agg(F.sum("count").alias("count"))
+    hits = rows.mapInArrow(walk, "lang string, ord long, sources array<string>, counts array<long>")
+    hits = hits.select("lang", "ord", F.inline(F.arrays_zip("sources", "counts")))
+    return hits.groupBy("lang", F.col("sources").alias("source"), "ord").agg(F.sum("counts").alias("count"))
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -204,8 +218,8 @@ class _TilePair:
 
     def __init__(self, key: list, tile: int):
         self.key, self.tile, self.header, self.ready, self.terms = key, tile, [], False, 0
-        self.open_terms: list[int] = []
-        self.open_rows: list[tuple[int, int, int]] = []
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def _start(self) -> None:
         self.header.sort()
@@ -216,32 +230,40 @@ class _TilePair:
         self.sums = np.zeros((len(self.left), len(self.right)), np.int64)
         self.ready = True
 
-    def add(self, ord_: int, src: int, p: int) -> None:
+    def add(self, ords, src, p) -> None:
+        """Rows of terms, in order of the terms."""
         if not self.ready:
             self._start()
-        if not self.open_terms or self.open_terms[-1] != ord_:
-            if len(self.open_terms) == BLOCK:
-                self._compare()
-            self.open_terms.append(ord_)
-        self.open_rows.append((len(self.open_terms) - 1, src, p))
-
-    def _compare(self) -> None:
-        """A dense block of terms and sources, with the share of a missing term where a source lacks it."""
-        if not self.open_terms:
+        self.rows.append(tuple(np.atleast_1d(x) for x in (ords, src, p)))
+        self.waiting += len(self.rows[-1][0])
+        if self.waiting >= ROWS:
+            self._compare(last=False)
+
+    def _compare(self, last: bool) -> None:
+        """Dense blocks of terms and sources, with the share of a missing term where a source lacks it.
+
+        The last term stays unless it is known to be complete.
+        """
+        if not self.rows:
             return
-        grid = np.repeat(self.missing[None, :], len(self.open_terms), 0)
-        row, src, p = np.array(self.open_rows, np.int64).T
-        grid[row, np.searchsorted(self.ids, src)] = p
-        for k, x in enumerate(self.left):
-            d = grid[:, x : x + 1] - grid[:, self.right]
-            self.sums[k] += (d * d // (grid[:, x : x + 1] + grid[:, self.right])).sum(0)
-        self.terms += len(self.open_terms)
-        self.open_terms, self.open_rows = [], []
+        ords, src, p = (np.concatenate(x) for x in zip(*self.rows))
+        full = len(ords) if last else int(np.searchsorted(ords, ords[-1]))
+        self.rows, self.waiting = [(ords[full:], src[full:], p[full:])], len(ords) - full
+        term = np.cumsum(np.append(False, ords[1:full] != ords[: full - 1])) if full else ords[:0]
+        place = np.searchsorted(self.ids, src[:full])
+        for k in range(0, int(term[-1]) + 1 if full else 0, BLOCK):
+            a, b = np.searchsorted(term, [k, k + BLOCK])
+            grid = np.repeat(self.missing[None, :], term[b - 1] - k + 1, 0)
+            grid[term[a:b] - k, place[a:b]] = p[a:b]
+            for m, x in enumerate(self.left):
+                d = grid[:, x : x + 1] - grid[:, self.right]
+                self.sums[m] += (d * d // (grid[:, x : x + 1] + grid[:, self.right])).sum(0)
+            self.terms += len(grid)
 
     def result(self) -> pa.RecordBatch:
         if not self.ready:
             self._start()
-        self._compare()
+        self._compare(last=True)
         a, b = np.repeat(self.ids[self.left], len(self.right)), np.tile(self.ids[self.right], len(self.left))
         sums, other = self.sums.ravel(), a != b
         a, b, sums = a[other], b[other], sums[other]
@@ -275,15 +297,18 @@ def pair_values(shares: DataFrame, groups: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _TilePair | None = None
         for batch in batches:
-            for *k, o, s, p in zip(*[batch.column(c).to_pylist() for c in [*key, "ord", "src", "p"]]):
-                if now is None or k != now.key:
+            each = list(zip(*[batch.column(c).to_pylist() for c in key]))
+            edges = [k for k in range(len(each)) if k == 0 or each[k] != each[k - 1]] + [len(each)]
+            ords, src, p = (batch.column(c).to_numpy() for c in ("ord", "src", "p"))
+            for a, b in zip(edges, edges[1:]):
+                if now is None or now.key != list(each[a]):
                     if now is not None:
                         yield now.result()
-                    now = _TilePair(k, TILE)
-                if o < 0:
-                    now.header.append((s, p))
-                else:
-                    now.add(o, s, p)
+                    now = _TilePair(list(each[a]), TILE)
+                first = a + int((ords[a:b] < 0).sum())
+                now.header.extend(zip(src[a:first].tolist(), p[a:first].tolist()))
+                if first < b:
+                    now.add(ords[first:b], src[first:b], p[first:b])
         if now is not None:
             yield now.result()
 
