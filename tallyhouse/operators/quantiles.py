@@ -1,10 +1,11 @@
 """Exact quantiles that never gather a column in one task.
 
-Small columns (a counted, bounded number of values) use the built-in exact percentile. Larger ones are
-narrowed: a pass asks mergeable sketches for two edges around each wanted rank, a second pass counts the
-rows at and below those edges exactly, and only what lies strictly between them goes on. A value that
-fills a large part of the column ends the search at once, because the counts show the wanted rank to be
-that value. All columns and ranks share the passes.
+Every column goes the same way, and neighbouring ranks are interpolated by one formula. A column is
+narrowed while more than a bounded number of its values may hold a wanted rank: a pass asks mergeable
+sketches for two edges around each wanted rank, a second pass counts the rows at and below those edges
+exactly, and only what lies strictly between them goes on. A value that fills a large part of the column
+ends the search at once, because the counts show the wanted rank to be that value. All columns and ranks
+share the passes.
 """
 
 from __future__ import annotations
@@ -31,15 +32,10 @@ def quantiles(
     names = [f"v{i}" for i in range(len(columns))]
     values = df.select(*[F.col(c).cast("double").alias(v) for c, v in zip(columns, names)])
     counts = values.agg(*[F.count(v).alias(v) for v in names]).first()
-    found: dict[str, list[float | None]] = {}
-    small = [v for v in names if counts[v] <= limit]
-    if small:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(v, wanted).alias(v) for v in small]).first()
-        found = {v: list(row[v] or [None] * len(probabilities)) for v in small}
-    large = {v: counts[v] for v in names if v not in small}
-    if large:
-        found |= _interpolated(values, large, probabilities, limit)
+    found: dict[str, list[float | None]] = {v: [None] * len(probabilities) for v in names}
+    filled = {v: counts[v] for v in names if counts[v]}
+    if filled:
+        found |= _interpolated(values, filled, probabilities, limit)
     return {c: found[v] for c, v in zip(columns, names)}
 
 
@@ -94,6 +90,7 @@ class _Search:
         settled = {r: a for r in self.ranks if r < le_a} | {r: b for r in self.ranks if r >= lt_b}
         self.ranks = [r for r in self.ranks if r not in settled]
         self.low, self.high, self.below, self.inside = a, b, le_a, lt_b - le_a
+        self.margin = 4.0 / SKETCH_ACCURACY
         return {(self.column, r): value for r, value in settled.items()}
 
 

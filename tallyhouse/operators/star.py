@@ -36,7 +36,7 @@ def order_count(unique: bool = False) -> Column:
 
 def total(column: str) -> Column:
     """Exact sum that reads 0, not NULL, where every value is missing."""
-    return money(F.coalesce(F.sum(column), F.lit(0)))
+    return total_money(F.coalesce(F.sum(column), F.lit(0)))
 
 
 # --- dimensions -------------------------------------------------------------------------------

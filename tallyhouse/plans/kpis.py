@@ -101,8 +101,8 @@ def top_margin_products(tables: Tables, k: int = 10) -> DataFrame:
             "product_name",
             "category",
             F.col("_units").alias("total_units_sold"),
-            money(F.col("_revenue")).alias("total_revenue"),
-            money(F.col("_profit")).alias("total_profit"),
+            total_money(F.col("_revenue")).alias("total_revenue"),
+            total_money(F.col("_profit")).alias("total_profit"),
             F.col("profit_margin_pct").alias("catalog_margin_pct"),
         )
         .orderBy(F.desc_nulls_last("total_profit"), "product_id")
@@ -128,8 +128,8 @@ def store_profitability(tables: Tables, unique: bool = False) -> DataFrame:
         rows.groupBy(*keys)
         .agg(
             orders.alias("transaction_count"),
-            money(revenue).alias("store_revenue"),
-            money(profit).alias("store_profit"),
+            total_money(revenue).alias("store_revenue"),
+            total_money(profit).alias("store_profit"),
         )
         .withColumn("store_margin_pct", percent(F.col("store_profit"), F.col("store_revenue")))
         .orderBy(F.desc_nulls_last("store_revenue"), *keys)
@@ -140,8 +140,8 @@ def financial_kpis(tables: Tables, unique: bool = False) -> DataFrame:
     zero = F.lit(0)
     gross = F.col("gross_amount")
     return tables["fact_sales"].agg(
-        money(F.coalesce(F.sum(gross), zero)).alias("total_revenue"),
-        money(F.coalesce(F.sum("net_profit"), zero)).alias("total_profit"),
+        total_money(F.coalesce(F.sum(gross), zero)).alias("total_revenue"),
+        total_money(F.coalesce(F.sum("net_profit"), zero)).alias("total_profit"),
         F.coalesce(safe_ratio(F.sum(gross), F.count(gross)), F.lit(0.0)).alias("avg_order_value"),
         order_count(unique).alias("total_transactions"),
         F.coalesce(F.sum("quantity"), zero).alias("total_units_sold"),
@@ -153,7 +153,7 @@ def inventory_kpis(tables: Tables) -> DataFrame:
     return tables["fact_inventory_snapshot"].agg(
         F.count(F.lit(1)).alias("total_skus"),
         F.coalesce(F.sum("stock_on_hand"), zero).alias("total_stock"),
-        money(F.coalesce(F.sum("inventory_valuation"), zero)).alias("total_inventory_value"),
+        total_money(F.coalesce(F.sum("inventory_valuation"), zero)).alias("total_inventory_value"),
         F.count_if(F.col("reorder_status") == S.REORDER_NEEDED).alias("reorder_alerts"),
     )
 
@@ -164,7 +164,7 @@ def rfm_distribution(tables: Tables) -> DataFrame:
         .groupBy("rfm_segment")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            money(F.coalesce(F.sum("total_spend"), F.lit(0))).alias("spend"),
+            total_money(F.coalesce(F.sum("total_spend"), F.lit(0))).alias("spend"),
         )
     )
 

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
-from tallyhouse.functions.numbers import money, ratio_or_zero, round_half_up, total_money
-from tallyhouse.operators.star import order_count
+from tallyhouse.functions.numbers import ratio_or_zero, round_half_up, total_money
 from tallyhouse.schemas import RELATIONS
 
 Tables = Mapping[str, DataFrame]
@@ -18,74 +17,126 @@ Tables = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Measure:
-    """A table and the aggregate over it."""
+    """What a measure adds up over its table, and how its value comes from the sums.
+
+    ``parts`` are aggregates that can be added up again, so that a table is first added up by the keys of its
+    dimensions. ``distinct`` names a column whose different values are counted; the count is part ``distinct``
+    of the value, named after the column.
+    """
 
     table: str
+    parts: Mapping[str, Callable[[], Column]]
     value: Callable[[], Column]
+    distinct: str | None = None
+
+
+def _sum(column: str) -> Callable[[], Column]:
+    return lambda: F.sum(column)
+
+
+def _amount(table: str, column: str) -> Measure:
+    return Measure(table, {column: _sum(column)}, lambda: total_money(F.col(column)))
+
+
+def _count(table: str, name: str, test: Callable[[], Column]) -> Measure:
+    return Measure(table, {name: lambda: F.count_if(test())}, lambda: F.col(name))
 
 
-def _amount(column: str) -> Callable[[], Column]:
-    return lambda: total_money(F.sum(column))
+def _plain(table: str, column: str) -> Measure:
+    return Measure(table, {column: _sum(column)}, lambda: F.col(column))
 
 
-def _in_segment(segment: str) -> Callable[[], Column]:
-    return lambda: F.count_if(F.col("rfm_segment") == segment)
+def _in_segment(segment: str, name: str) -> Measure:
+    return _count("dim_customers", name, lambda: F.col("rfm_segment") == segment)
 
 
 MEASURES = {
-    "total_sales": Measure("fact_sales", _amount("gross_amount")),
-    "total_cogs": Measure("fact_sales", _amount("cogs")),
-    "total_net_profit": Measure("fact_sales", _amount("net_profit")),
+    "total_sales": _amount("fact_sales", "gross_amount"),
+    "total_cogs": _amount("fact_sales", "cogs"),
+    "total_net_profit": _amount("fact_sales", "net_profit"),
     "profit_margin_pct": Measure(
         "fact_sales",
-        lambda: round_half_up(ratio_or_zero(F.sum("net_profit"), F.sum("gross_amount")) * 100.0),
+        {"net_profit": _sum("net_profit"), "gross_amount": _sum("gross_amount")},
+        lambda: round_half_up(ratio_or_zero(F.col("net_profit"), F.col("gross_amount")) * 100.0),
     ),
-    "total_units_sold": Measure("fact_sales", lambda: F.sum("quantity")),
-    "total_transactions": Measure("fact_sales", order_count),
+    "total_units_sold": _plain("fact_sales", "quantity"),
+    "total_transactions": Measure("fact_sales", {}, lambda: F.col("transaction_id"), "transaction_id"),
     "average_order_value": Measure(
-        "fact_sales", lambda: round_half_up(ratio_or_zero(F.sum("gross_amount"), order_count()))
+        "fact_sales",
+        {"gross_amount": _sum("gross_amount")},
+        lambda: round_half_up(ratio_or_zero(F.col("gross_amount"), F.col("transaction_id"))),
+        "transaction_id",
     ),
     # A missing customer is no customer: SQL semantics, where the BI tool would count the blank.
-    "active_customer_count": Measure("fact_sales", lambda: F.count_distinct("customer_id")),
-    "total_stock_on_hand": Measure("fact_inventory_snapshot", lambda: F.sum("stock_on_hand")),
-    "total_inventory_valuation": Measure("fact_inventory_snapshot", _amount("inventory_valuation")),
-    "reorder_alert_count": Measure(
-        "fact_inventory_snapshot", lambda: F.count_if(F.col("reorder_status") == S.REORDER_NEEDED)
+    "active_customer_count": Measure("fact_sales", {}, lambda: F.col("customer_id"), "customer_id"),
+    "total_stock_on_hand": _plain("fact_inventory_snapshot", "stock_on_hand"),
+    "total_inventory_valuation": _amount("fact_inventory_snapshot", "inventory_valuation"),
+    "reorder_alert_count": _count(
+        "fact_inventory_snapshot", "reorder_alerts", lambda: F.col("reorder_status") == S.REORDER_NEEDED
     ),
     "avg_customer_lifetime_value": Measure(
-        "dim_customers", lambda: round_half_up(ratio_or_zero(F.sum("total_spend"), F.count("total_spend")))
+        "dim_customers",
+        {"total_spend": _sum("total_spend"), "with_spend": lambda: F.count("total_spend")},
+        lambda: round_half_up(ratio_or_zero(F.col("total_spend"), F.col("with_spend"))),
     ),
-    "champions_count": Measure("dim_customers", _in_segment("Champions")),
-    "at_risk_customers": Measure("dim_customers", _in_segment("At Risk")),
+    "champions_count": _in_segment("Champions", "champions"),
+    "at_risk_customers": _in_segment("At Risk", "at_risk"),
 }
 
 
-def _with_group_columns(tables: Tables, table: str, group_by: Sequence[str]) -> DataFrame:
-    """The table plus those group-by columns that live on one of its dimensions."""
-    frame = tables[table]
-    missing = [c for c in group_by if c not in frame.columns]
+def _dimension_columns(tables: Tables, table: str, group_by: Sequence[str]) -> list[tuple[str, str, list[str]]]:
+    """Dimension, key and group-by columns of it, for those columns that the table itself lacks."""
+    missing, joins = [c for c in group_by if c not in tables[table].columns], []
     for fact, dimension, key in RELATIONS:
         found = [c for c in missing if fact == table and c in tables[dimension].columns]
         if found:
-            frame = frame.join(tables[dimension].select(key, *found), key, "left")
+            joins.append((dimension, key, found))
             missing = [c for c in missing if c not in found]
     if missing:
         raise ValueError(f"no table related to {table} has the column(s) {', '.join(missing)}")
-    return frame
+    return joins
+
 
+def measures(tables: Tables, names: Sequence[str], group_by: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """Several measures of one table.
 
-def measures(tables: Tables, names: Sequence[str], group_by: Sequence[str] = ()) -> DataFrame:
-    """Several measures of one table in one pass."""
+    Where a group-by column is on a dimension, the table is first added up by the keys of its dimensions, so
+    that the join gets one row per key; for distinct counts it gets the different pairs of key and id as
+    well. ``unique=True`` takes one row per transaction for granted, and then its ids are plainly counted.
+    """
     sources = {MEASURES[n].table for n in names}
     if len(sources) != 1:
         raise ValueError("measures of one call must come from one table")
-    frame = _with_group_columns(tables, sources.pop(), group_by)
+    table = sources.pop()
+    frame, joins = tables[table], _dimension_columns(tables, table, group_by)
+    parts = {p: make for n in names for p, make in MEASURES[n].parts.items()}
+    ids = sorted({d for n in names if (d := MEASURES[n].distinct)})
+    if unique and "transaction_id" in ids:
+        ids.remove("transaction_id")
+        parts["transaction_id"] = lambda: F.count("transaction_id")
+    own = [c for c in group_by if c in frame.columns]
+    # Parts and ids get names of their own, as a group-by column may have the name of a summed one.
+    if not joins:
+        made = [make().alias(f"_{p}") for p, make in parts.items()] + [F.count_distinct(d).alias(f"_{d}") for d in ids]
+        added = frame.groupBy(*group_by).agg(*made) if group_by else frame.agg(*made)
+    else:
+        keys = [*own, *[k for _, k, _ in joins if k not in own]]
+        rows = frame.groupBy(*keys).agg(*[make().alias(f"_{p}") for p, make in parts.items()]) if parts else None
+        for d in ids:
+            pairs = frame.select(*keys, F.col(d).alias(f"_{d}")).distinct()
+            rows = pairs if rows is None else rows.unionByName(pairs, allowMissingColumns=True)
+        for dimension, key, found in joins:
+            rows = rows.join(tables[dimension].select(key, *found), key, "left")
+        again = [F.sum(f"_{p}").alias(f"_{p}") for p in parts] + [F.count_distinct(f"_{d}").alias(f"_{d}") for d in ids]
+        added = rows.groupBy(*group_by).agg(*again)
+    named = [F.col(f"_{c}").alias(c) for c in (*parts, *ids)]
+    groups = [F.col(c).alias(f"__{c}") for c in group_by]
     values = [MEASURES[n].value().alias(n) for n in names]
-    return frame.groupBy(*group_by).agg(*values) if group_by else frame.agg(*values)
+    return added.select(*groups, *named).select(*[F.col(f"__{c}").alias(c) for c in group_by], *values)
 
 
-def measure(tables: Tables, name: str, group_by: Sequence[str] = ()) -> DataFrame:
-    return measures(tables, [name], group_by)
+def measure(tables: Tables, name: str, group_by: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    return measures(tables, [name], group_by, unique)
 
 
 def stock_turnover_ratio(tables: Tables, group_by: Sequence[str] = ()) -> DataFrame:
@@ -102,31 +153,29 @@ def stock_turnover_ratio(tables: Tables, group_by: Sequence[str] = ()) -> DataFr
 
 # --- time intelligence ------------------------------------------------------------------------
 def monthly_sales(tables: Tables) -> DataFrame:
-    """Total sales per calendar month, months without sales included; one row per month."""
-    month = F.trunc("transaction_date", "month")
-    totals = tables["fact_sales"].groupBy(month.alias("month_start")).agg(F.sum("gross_amount").alias("_sales"))
-    ends = totals.agg(F.struct(F.min("month_start").alias("first"), F.max("month_start").alias("last"))).scalar()
+    """Total sales per calendar month, months without sales included; one row per month, in one pass over the facts.
+
+    The calendar has one row per month, whatever the facts hold, so that windows over it stay small.
+    """
+    month = F.trunc("transaction_date", "month").alias("month_start")
+    totals = tables["fact_sales"].groupBy(month).agg(F.sum("gross_amount").alias("_sales")).withColumn("_sold", F.col("month_start"))
     calendar = tables["dim_date"].filter(F.col("day") == 1).select(F.col("date").alias("month_start"))
-    months = calendar.filter(F.col("month_start").between(ends["first"], ends["last"]))
-    return months.join(totals, "month_start", "left").select(
-        "month_start", money(F.coalesce("_sales", F.lit(0))).alias("total_sales")
-    )
+    ends = [f(F.col("_sold")).over(Window.partitionBy()) for f in (F.min, F.max)]
+    months = calendar.join(totals, "month_start", "left").withColumn("_in", F.col("month_start").between(*ends))
+    return months.filter("_in").select("month_start", total_money(F.coalesce("_sales", F.lit(0))).alias("total_sales"))
 
 
 def sales_ytd(tables: Tables) -> DataFrame:
     """Running total within each year, over monthly totals."""
-    months = monthly_sales(tables)
-    running = "sum(total_sales) OVER (PARTITION BY year(month_start) ORDER BY month_start ROWS UNBOUNDED PRECEDING)"
-    return months.select("month_start", "total_sales", money(F.expr(running)).alias("sales_ytd")).orderBy("month_start")
+    year = Window.partitionBy(F.year("month_start")).orderBy("month_start").rowsBetween(Window.unboundedPreceding, 0)
+    running = total_money(F.sum("total_sales").over(year))
+    return monthly_sales(tables).select("month_start", "total_sales", running.alias("sales_ytd")).orderBy("month_start")
 
 
 def sales_previous_month(tables: Tables) -> DataFrame:
     """Sales of the calendar month before; NULL for the first month."""
-    months = monthly_sales(tables)
-    previous = months.select(
-        F.add_months("month_start", 1).alias("month_start"), F.col("total_sales").alias("sales_previous_month")
-    )
-    return months.join(previous, "month_start", "left").orderBy("month_start")
+    before = F.lag("total_sales").over(Window.orderBy("month_start"))
+    return monthly_sales(tables).select("month_start", "total_sales", before.alias("sales_previous_month")).orderBy("month_start")
 
 
 def mom_sales_growth(tables: Tables) -> DataFrame:

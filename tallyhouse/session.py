@@ -23,13 +23,15 @@ PLAN_SETTINGS = {
 
 
 def build_session(app_name: str = "tallyhouse", master: str | None = None, **extra: str) -> SparkSession:
-    """Create (or reuse) a session. ``master`` is left to spark-submit unless given."""
+    """Create (or reuse) a session that has this package on its executors. ``master`` is left to spark-submit unless given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**PLAN_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def local_session(cpus: int | None = None, **extra: str) -> SparkSession:

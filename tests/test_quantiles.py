@@ -40,3 +40,9 @@ def test_a_sketch_that_misses_is_widened(spark):
 def test_nulls_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a DOUBLE, b DOUBLE")
     assert Q.quantiles(df, ["a", "b"], [0.5]) == {"a": [2.0], "b": [None]}
+
+
+def test_one_formula_at_every_size(spark):
+    df = spark.createDataFrame([(float(x),) for x in SHAPES["heavy tail"]], "a DOUBLE").repartition(5)
+    alike = [Q.quantiles(df, ["a"], PROBABILITIES, limit=n)["a"] for n in (10, 300, 5000)]
+    assert alike[0] == alike[1] == alike[2]

@@ -187,3 +187,21 @@ def test_staging_without_a_configured_folder(spark, monkeypatch):
 
     first, second = staging.shared_folder(Unset), staging.shared_folder(Unset)
     assert first == second and first.count("tallyhouse-") == 1
+
+
+def test_catalog_counts_all_datasets_in_one_job(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "a b.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "parts" / "1.csv").write_text("x\n1\n")
+    (tmp_path / "parts" / "2.csv").write_text("x,y,z\n1,2,3\n4,5,6\n")
+    (tmp_path / "header.csv").write_text("x,y\n")
+    named = {"a": f"{tmp_path}/a b.csv", "all": f"{tmp_path}/parts", "second": f"{tmp_path}/parts/2.csv",
+             "header": f"{tmp_path}/header.csv", "absent": f"{tmp_path}/none.csv"}
+    spark.sparkContext.setJobGroup("catalog", "")
+    found = files.dataset_catalog(spark, named, dirty=("a",))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("catalog")  # nothing runs before the result is asked for
+    rows = {r.filename: (r.records, r.size_kb, r.is_dirty_sample) for r in found.collect()}
+    spark.sparkContext._jsc.sc().clearJobGroup()
+    kb = lambda n: round(n / 1024, 2)
+    assert rows == {"a": (2, kb(12), True), "all": (3, kb(22), False), "second": (2, kb(18), False),
+                    "header": (0, kb(4), False), "absent": (0, 0.0, False)}
