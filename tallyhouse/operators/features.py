@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,12 +98,19 @@ def line_features(
     return country_feature(customer_features(line_amounts(lines), customers), countries)
 
 
+def medians(df: DataFrame, columns: Sequence[str] = S.FEATURES, **options: int) -> dict[str, float]:
+    """Exact median per column; 0.0 where a column has no value at all."""
+    points = quantiles(df, columns, [0.5], **options)
+    return {c: float(points[c][0] or 0.0) for c in columns}
+
+
+def fill_missing(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in values.items()})
+
+
 def impute_median(df: DataFrame, columns: Sequence[str] = S.FEATURES, **options: int) -> DataFrame:
     """NULL becomes the column's exact median, or 0.0 where the column has no value at all."""
-    medians = quantiles(df, columns, [0.5], **options)
-    return df.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(float(medians[c][0] or 0.0))) for c in columns}
-    )
+    return fill_missing(df, medians(df, columns, **options))
 
 
 def robust_scale(

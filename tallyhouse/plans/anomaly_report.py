@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyhouse import settings as S
 from tallyhouse.operators import features, forest, quality, scoring
@@ -24,21 +25,27 @@ def score_lines(lines: DataFrame, model_settings: ModelSettings = ModelSettings(
 
     The statistics that are joined back to the lines are staged first: fitting and scoring share them,
     and their known sizes decide between broadcast and shuffle before any line moves. Fitting reads a
-    sample only, as the sampling filter sits below the joins.
+    sample only, as the sampling filter sits below the joins. Missing features get the median of their
+    column before the fit and before scoring; columns without a gap, which one pass counts along with the
+    lines, need no median.
     """
     customers = stage(features.customer_stats(features.line_amounts(lines)), "customers")
     countries = stage(features.country_stats(lines), "countries")
     repeats = stage(quality.repeated_lines(lines), "repeats")
+    featured = features.line_features(lines, customers, countries)
+    counts = featured.agg(F.count(F.lit(1)).alias("_lines"), *[F.count_if(F.col(c).isNull()).alias(c) for c in S.FEATURES]).first()
+    gaps = [c for c in S.FEATURES if counts[c]]
+    values = features.medians(stage(featured.select(*gaps), "gaps"), gaps) if gaps else {}
     nodes = forest.fit_isolation_forest(
-        features.line_features(lines, customers, countries),
+        features.fill_missing(featured, values),
         n_estimators=model_settings.n_estimators,
         seed=model_settings.seed,
         max_samples=model_settings.max_samples,
-        n_rows=lines.count(),
+        n_rows=counts["_lines"],
     )
     model = forest.ForestModel.collect(nodes)
     flagged = quality.dq_flag(lines, repeats=repeats)
-    return forest.score_forest(features.line_features(flagged, customers, countries), model)
+    return forest.score_forest(features.fill_missing(features.line_features(flagged, customers, countries), values), model)
 
 
 def classify_lines(scored: DataFrame, contamination: float = S.CONTAMINATION) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterator, Mapping
 
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,19 @@ class RejectedStatement(ValueError):
     """Empty text, a statement that is not a single query, or one that calls methods of the JVM."""
 
 
+def _classes(plan) -> Iterator[str]:
+    """Names of all nodes and expressions of a plan, also of plans inside expressions; texts in it are none."""
+    waiting = [plan]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, dict):
+            if isinstance(part.get("class"), str):
+                yield part["class"]
+            waiting.extend(part.values())
+        elif isinstance(part, list):
+            waiting.extend(part)
+
+
 def run_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Run one query and return its (lazy) result.
 
@@ -43,7 +57,7 @@ def run_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] |
         raise RejectedStatement(f"Only a single query can be run here: {error}") from error
     finally:
         spark.conf.set(FILES_AS_TABLES, before)
-    plan = result._jdf.queryExecution().analyzed().toJSON()
-    if any(name in plan for name in METHOD_CALLS):
+    plan = json.loads(result._jdf.queryExecution().analyzed().toJSON())
+    if any(name.rsplit(".", 1)[-1] in METHOD_CALLS for name in _classes(plan)):
         raise RejectedStatement("Methods of the JVM cannot be called here")
     return result

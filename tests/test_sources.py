@@ -205,3 +205,36 @@ def test_catalog_counts_all_datasets_in_one_job(spark, tmp_path):
     kb = lambda n: round(n / 1024, 2)
     assert rows == {"a": (2, kb(12), True), "all": (3, kb(22), False), "second": (2, kb(18), False),
                     "header": (0, kb(4), False), "absent": (0, 0.0, False)}
+
+
+@pytest.mark.parametrize("word", ["TryReflect", "CallMethodViaReflection", "org.apache.TryReflect"])
+def test_workbench_takes_texts_for_texts(spark, word):
+    assert run_query(spark, f"SELECT '{word}' AS a, struct('{word}' AS class) AS b").first().a == word
+
+
+def test_workbench_rejects_calls_of_the_jvm_inside_subqueries(spark):
+    call = "reflect('java.lang.System', 'getProperty', 'user.home')"
+    for text in (f"SELECT (SELECT {call}) AS a", f"SELECT 1 AS a WHERE EXISTS (SELECT {call} AS b)", f"WITH w AS (SELECT {call} AS b) SELECT * FROM w"):
+        with pytest.raises(RejectedStatement):
+            run_query(spark, text)
+
+
+def test_strftime_directives(spark):
+    import sqlite3
+
+    from tallyhouse.functions.sqlcompat import register_strftime
+
+    register_strftime(spark)
+    moments = ["2024-01-01 00:00:00", "2023-12-31 23:59:58", "2024-02-29 07:08:09", "2021-01-03 12:00:00"]
+    formats = ["%Y-%m-%dT%H:%M:%SZ", "%Y-%m", "week %W, day %j of '%Y'", "100%% %w%W", "%f", "%s", "", "no directive", "%d.%m.%Y", "Q\n%m"]
+    lite = sqlite3.connect(":memory:")
+    for fmt in formats:
+        expected = [lite.execute("SELECT strftime(?, ?)", (fmt, m)).fetchone()[0] for m in moments]
+        df = spark.createDataFrame([(fmt, m) for m in moments], "f STRING, m STRING")
+        assert [r[0] for r in df.selectExpr("strftime(f, CAST(m AS TIMESTAMP)) AS s").collect()] == expected
+        literal = fmt.replace("'", "''")
+        got = spark.sql("SELECT strftime('" + literal.replace("\n", "\\n") + "', TIMESTAMP'2024-02-29 07:08:09')").first()[0]
+        assert got == expected[2]
+    assert spark.sql("SELECT strftime('%Y', NULL) IS NULL AND strftime('x%Y', NULL) IS NULL").first()[0]
+    with pytest.raises(Exception, match="unknown directive"):
+        spark.sql("SELECT strftime('%q', TIMESTAMP'2024-02-29 07:08:09')").collect()
