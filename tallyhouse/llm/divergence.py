@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
 
-ENTRIES = 400_000  # counters are handed on when they hold as many
+ENTRIES = 800_000  # counters are handed on when they hold as many
+FILTER_WORDS = 1 << 19  # 64-bit words of the filter of kept terms: 4 MB, however many terms are kept
 ROWS = 1 << 16  # rows of two tiles that wait for a comparison
 SHARD_TERMS = 4096  # neighbouring terms of one transducer
 SALTS = 8  # copies of each transducer, so that often used neighbours are counted by several tasks
@@ -97,13 +99,40 @@ def vocabulary(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     )
 
 
+def kept_filter(kept: DataFrame) -> np.ndarray:
+    """Bits of a fixed number: two for each kept term of a language, by its hash.
+
+    What lacks one of its bits is not kept; what has both goes on to the transducer, which decides. With very
+    many kept terms most bits are set and more goes on, with the same result.
+    """
+    h = F.xxhash64("lang", "term")
+    places = F.explode(F.array(F.shiftrightunsigned(h, 39), F.shiftrightunsigned(F.shiftleft(h, 25), 39))).alias("at")
+    words = kept.select(places).groupBy(F.shiftright("at", 6).alias("word"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("bits"))
+    bits = np.zeros(FILTER_WORDS, np.uint64)
+    for r in words.toLocalIterator():
+        bits[r.word] = np.uint64(r.bits & ((1 << 64) - 1))
+    return bits
+
+
+def may_be_kept(bits: np.ndarray, language: str, terms: list[bytes]) -> np.ndarray:
+    """For each term, whether the filter has both of its bits."""
+    seed = xxhash.xxh64_intdigest(language.encode(), 42)
+    h = np.array([xxhash.xxh64_intdigest(t, seed) for t in terms], np.uint64)
+    one, two = h >> np.uint64(39), (h << np.uint64(25)) >> np.uint64(39)
+    has = [(bits[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) for x in (one, two)]
+    return (has[0] & has[1]).astype(bool)
+
+
 def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """``lang``, ``source``, ``ord``, ``count``: occurrences of each kept term in each source.
 
     The terms of the texts go to the transducer of their range, which is built from the sorted terms that
     come first in its task; what it does not know is dropped. Only the first term of every range (one of
-    ``SHARD_TERMS`` kept terms) is known to all tasks.
+    ``SHARD_TERMS`` kept terms) and a filter of fixed size are known to all tasks: most terms that are not kept
+    go no further.
     """
+    bits = kept_filter(kept)
     begins: dict[str, list[bytes]] = {}
     for r in kept.where(F.col("ord") % SHARD_TERMS == 0).orderBy("lang", "ord").toLocalIterator():
         begins.setdefault(r.lang, []).append(r.term.encode())
@@ -121,12 +150,16 @@ def recounted(docs: DataFrame, kept: DataFrame) -> DataFrame:
                 if not own or language not in begins:
                     continue
                 coded = pa.array([t for _, c in own for t in c], pa.binary()).dictionary_encode()
-                code = coded.indices.to_numpy()
+                likely = may_be_kept(bits, language, coded.dictionary.to_pylist())
+                chosen = likely[coded.indices.to_numpy()]
+                if not chosen.any():
+                    continue
+                terms = coded.dictionary.filter(pa.array(likely))
+                code = (np.cumsum(likely) - 1)[coded.indices.to_numpy()[chosen]]
                 order = np.argsort(code, kind="stable")
-                terms = coded.dictionary
                 offsets = pa.array(np.append(0, np.cumsum(np.bincount(code, minlength=len(terms)))).astype(np.int32))
-                place = np.repeat(np.arange(len(own)), [len(c) for _, c in own])[order]
-                values = np.array([v for _, c in own for v in c.values()], np.int64)[order]
+                place = np.repeat(np.arange(len(own)), [len(c) for _, c in own])[chosen][order]
+                values = np.array([v for _, c in own for v in c.values()], np.int64)[chosen][order]
                 sources = pa.array([source for source, _ in own], pa.string()).take(pa.array(place))
                 starts = begins[language]
                 shards = np.array([bisect_right(starts, t) - 1 for t in terms.to_pylist()], np.int32)

@@ -125,3 +125,12 @@ def test_large_counts_are_exact(spark):
     big = 10**13
     row = spark.createDataFrame([(big, 3 * big + 1, 17)], "c long, n long, v long")
     assert row.select(divergence.share(F.col("c"), F.col("n"), F.col("v"))).first()[0] == 1 + 10**9 * (big + 2) // (3 * big + 1 + 34)
+
+
+def test_filter_holds_all_kept_terms_and_little_else(spark):
+    rows = [("en", f"w{k}é") for k in range(3000)] + [("", "x"), ("de", "w1é")]
+    bits = divergence.kept_filter(spark.createDataFrame(rows, "lang string, term string"))
+    for lang in ("en", "", "de"):
+        assert divergence.may_be_kept(bits, lang, [t.encode() for g, t in rows if g == lang]).all()
+    assert divergence.may_be_kept(bits, "en", [f"other{k}".encode() for k in range(3000)]).mean() < 0.01
+    assert len(divergence.kept_filter(spark.createDataFrame([], "lang string, term string"))) == divergence.FILTER_WORDS
