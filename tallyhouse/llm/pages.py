@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -26,14 +26,25 @@ INLINE = frozenset(
 SKIPPED = frozenset("nav footer aside form button select option datalist menu dialog head".split())
 MAIN = frozenset("article main".split())
 
-# Words in class, id or role that mark what is not the article.
-MARKED = re.compile(
-    r"(?:^|[\s\"'_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|hidden|masthead|menu|"
-    r"modal|nav\w*|newsletter|notice|pagination|popup|promo\w*|related|repl(?:y|ies)|share|sidebar|social|sponsor\w*|"
-    r"subscribe|toolbar|widget)(?:$|[\s\"'_-])",
-    re.I,
+# Elements that hold prose, and elements that hold anything.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p li dt dd pre blockquote td th caption figcaption address".split())
+BARE = frozenset("div section".split())
+
+# Words of a class, id or role that mark what is not the article, words that only go with them, and
+# those that mark an article element, or an id inside an article, where the others may well be its topic.
+MARK = re.compile(
+    r"ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|hidden|masthead|menu|modal|nav|navbar|"
+    r"navigation|newsletter|notice|pagination|popup|promo\w*|related|repl(?:y|ies)|shar(?:e|ing)|sidebar|social|sponsor\w*|"
+    r"subscribe|teasers?|toolbar|widget"
 )
-ATTRIBUTES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+BESIDE = frozenset(
+    "area articles bar block bottom box button buttons container form global group header holder icons inner items left "
+    "links list main outer page panel policy post posts right section site slot sub top unit user wrap wrapper".split()
+)
+READERS = re.compile(r"advert\w*|comments?|disqus|promo\w*|related|repl(?:y|ies)|sponsor\w*|teasers?")
+ATTRIBUTES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_a-zA-Z]+")
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 
 MARKUP = re.compile(
@@ -43,8 +54,38 @@ MARKUP = re.compile(
     re.S | re.I,
 )
 
-# What a line is: left out by its element, open to comparison, or in the article.
-LEFT_OUT, OPEN, ARTICLE = 0, 1, 2
+TABLE_BITS = 1 << 20  # of the table that two runs of lines are compared in at once
+
+# What a line is: left out by its element, open to comparison, in the article, or open to comparison inside the article.
+LEFT_OUT, OPEN, ARTICLE, ARTICLE_OPEN = 0, 1, 2, 3
+
+
+def _marks(value: str, words: re.Pattern) -> bool:
+    """Whether one of the names in an attribute consists of the given words and such as only go with them."""
+    for name in value.strip("\"'").split():
+        parts = [x.lower() for x in PARTS.findall(name)]
+        hits = [bool(words.fullmatch(x)) for x in parts]
+        if any(hits) and all(hit or x in BESIDE for hit, x in zip(hits, parts)):
+            return True
+    return False
+
+
+def _marked(name: str, rest: str, inside: bool) -> bool:
+    """Whether an element's class, id or role says that it is not part of the article.
+
+    Names count as a whole: ``related-posts`` does, ``related-work`` does not. Headings never do, and ids of
+    prose do not, as they name a topic. Inside an article, and of an article, only reader comments, teasers
+    and the like count by id, and an article element needs such a word in its class, too.
+    """
+    if name in HEADINGS or name in ("html", "body", "main"):
+        return False
+    for attribute, value in ATTRIBUTES.findall(rest):
+        by_id = attribute.lower() == "id"
+        if by_id and name in PROSE:
+            continue
+        if _marks(value, READERS if name == "article" or (by_id and inside) else MARK):
+            return True
+    return False
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
@@ -90,13 +131,16 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             continue
         inner = kind
         if kind != LEFT_OUT:
-            marks = " ".join(ATTRIBUTES.findall(rest))
-            out = name in SKIPPED or (name == "header" and kind == OPEN) or bool(HIDDEN.search(rest))
-            top = name in MAIN and kind == OPEN or name in ("html", "body")
-            if out or (not top and marks and MARKED.search(marks)):
+            inside = kind != OPEN
+            out = name in SKIPPED or (name == "header" and not inside) or bool(HIDDEN.search(rest))
+            if out or _marked(name, rest, inside):
                 inner = LEFT_OUT
             elif name in MAIN:
                 inner = ARTICLE
+            elif inside and name in PROSE:
+                inner = ARTICLE
+            elif kind == ARTICLE and name in BARE and not any(x in PROSE for x, _ in stack):
+                inner = ARTICLE_OPEN
         if inner != kind:
             flush()
         stack.append((name, inner))
@@ -105,44 +149,86 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     return found
 
 
-def common_subsequence(a: list[int], b: list[int]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence of both.
+def _rows(a: Sequence[int], b: Sequence[int], keep: bool) -> list[int]:
+    """After each item of ``a`` (or after the last one), the places of ``b`` where the common length does not grow.
 
-    A common beginning and end belong to one. Between them, matches are taken from the last place in ``b``
-    to the first for each item of ``a``, and the chains are kept by their length, so the work follows the
-    number of equal pairs there.
+    Places are bits of one large number, so an item of ``a`` takes a few operations on it, however often it is in ``b``.
     """
-    head = _shared_prefix(a, b)
-    tail = _shared_prefix(a[head:][::-1], b[head:][::-1])
-    whole, a, b = len(a), a[head : len(a) - tail], b[head : len(b) - tail]
-    places: dict[int, list[int]] = {}
+    full = (1 << len(b)) - 1
+    places: dict[int, int | bytearray] = {x: bytearray(len(b) // 8 + 1) for x in set(a)}
     for j, x in enumerate(b):
-        places.setdefault(x, []).append(j)
-    tails: list[int] = []
-    ends: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(places.get(x, ())):
-            k = bisect_left(tails, j)
-            link = (i, ends[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                ends.append(link)
-            elif j < tails[k]:
-                tails[k] = j
-                ends[k] = link
-    found, link = [], ends[-1] if ends else None
-    while link:
-        found.append(head + link[0])
-        link = link[1]
-    return [*range(head), *found[::-1], *range(whole - tail, whole)]
+        if x in places:
+            places[x][j >> 3] |= 1 << (j & 7)
+    places = {x: int.from_bytes(v, "little") for x, v in places.items()}
+    flat, rows = full, []
+    for x in a:
+        both = flat & places[x]
+        flat = ((flat + both) | (flat - both)) & full
+        if keep:
+            rows.append(flat)
+    return rows if keep else [flat]
+
+
+def _lengths(a: Sequence[int], b: Sequence[int]) -> np.ndarray:
+    """Common length of ``a`` and each beginning of ``b``, the empty one included."""
+    flat = _rows(a, b, keep=False)[0]
+    bits = np.unpackbits(np.frombuffer(flat.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common_subsequence(a: Sequence[int], b: Sequence[int]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence of both.
+
+    A common beginning and end belong to one, and what only one side has belongs to none. The rest is
+    compared bit by bit: at once where the table of bits is small, else halved where both halves together are longest, so
+    memory stays within ``TABLE_BITS`` or a few rows, also for very many equal lines.
+    """
+    found: list[int] = []
+    todo = [(list(enumerate(a)), list(b))]
+    while todo:
+        left, right = todo.pop()
+        values = [x for _, x in left]
+        head = _shared_prefix(values, right)
+        tail = _shared_prefix(values[head:][::-1], right[head:][::-1])
+        found += [i for i, _ in left[:head]] + [i for i, _ in left[len(left) - tail :]]
+        left, right = left[head : len(left) - tail], right[head : len(right) - tail]
+        common = {x for _, x in left} & set(right)
+        left, right = [x for x in left if x[1] in common], [x for x in right if x in common]
+        values = [x for _, x in left]
+        if not left:
+            continue
+        if len(left) == 1:
+            found.append(left[0][0])
+        elif len(left) * len(right) <= TABLE_BITS:
+            rows = _rows(values, right, keep=True)
+            i, j = len(left), len(right)
+            while i and j:
+                if rows[i - 1] >> (j - 1) & 1:
+                    j -= 1
+                    continue
+                i -= 1
+                if not i or rows[i - 1] >> (j - 1) & 1:
+                    j -= 1
+                    found.append(left[i][0])
+        else:
+            half = len(left) // 2
+            ends = _lengths(values[:half], right) + _lengths(values[half:][::-1], right[::-1])[::-1]
+            cut = int(ends.argmax())
+            todo += [(left[:half], right[:cut]), (left[half:], right[cut:])]
+    return sorted(found)
+
+
+def _open_lines(kinds: list[int]) -> list[int]:
+    """The lines of a page that it may lose: those open inside its article, or all open ones of a page without one."""
+    article = ARTICLE in kinds or ARTICLE_OPEN in kinds
+    return [k for k, kind in enumerate(kinds) if kind == (ARTICLE_OPEN if article else OPEN)]
 
 
 def _summaries(texts: list[str]) -> list:
     lines = [lines_of(t) for t in texts]
     hashes = [[xxhash.xxh64_intdigest(x.encode()) - (1 << 63) for x, _ in page] for page in lines]
-    open_ = [[k for k, (_, kind) in enumerate(page) if kind == OPEN] for page in lines]
-    article = [any(kind == ARTICLE for _, kind in page) for page in lines]
-    return [pa.array(hashes, pa.list_(pa.int64())), pa.array([[] if a else o for a, o in zip(article, open_)], pa.list_(pa.int32()))]
+    open_ = [_open_lines([kind for _, kind in page]) for page in lines]
+    return [pa.array(hashes, pa.list_(pa.int64())), pa.array(open_, pa.list_(pa.int32()))]
 
 
 def _shared_prefix(a: Sequence, b: Sequence) -> int:
@@ -168,7 +254,7 @@ def _shared_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """``key`` and ``gone``: the lines that a page without an article element shares with its nearest page.
+    """``key`` and ``gone``: the open lines that a page shares with its nearest page.
 
     ``pages`` has ``key``, ``url``, ``html``. Within a host, pages are ordered by path; the nearest page is
     that of the two neighbours whose path has more leading characters in common. Only hashes of lines
@@ -203,19 +289,23 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str, gone: set[int]) -> str:
-    """Article lines where the page has an article element; else open lines that are not ``gone``."""
+    """Article lines where the page has an article element, else open lines; in both cases less those ``gone``.
+
+    An article that would lose every line is a copy of the other page's and keeps them.
+    """
     lines = lines_of(page)
-    article = [x for x, kind in lines if kind == ARTICLE]
+    article = [(k, x) for k, (x, kind) in enumerate(lines) if kind in (ARTICLE, ARTICLE_OPEN)]
     if article:
-        return "\n\n".join(article)
+        return "\n\n".join([x for k, x in article if k not in gone] or [x for _, x in article])
     return "\n\n".join(x for k, (x, kind) in enumerate(lines) if kind == OPEN and k not in gone)
 
 
 def extract_main_text(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page.
 
-    Lines of an article or main element are its text. A page without one has its lines outside menus,
-    footers, forms and the like, less those it shares with the page of the nearest URL on its host.
+    Lines of an article or main element are its text: its prose (paragraphs, headings, lists, quotes, tables)
+    always, other lines in it (notices, teasers in plain containers) unless the page of the nearest URL on its host
+    shares them. A page without an article has its lines outside menus, footers, forms and the like, less those shared.
     Pages are read twice and only move where some page has shared lines, and those are too many for a
     broadcast.
 

@@ -92,3 +92,46 @@ def test_common_subsequence_is_longest():
         assert len(places) == length(a, b) and places == sorted(set(places))
         rest = iter(b)
         assert all(a[p] in rest for p in places)
+
+
+def test_topics_of_an_article_are_no_marks():
+    page = '<article><h2 id="social-history">Social history</h2><p>x</p><section class="related-work">y</section></article>'
+    assert pages.main_text(page, set()) == "Social history\n\nx\n\ny"
+    page = '<h2 id="cookies">Baking cookies</h2><p class="share-prices">Shares rose</p>'
+    assert pages.main_text(page, set()) == "Baking cookies\n\nShares rose"
+    assert pages.main_text(f"<article>{page}</article>", set()) == "Baking cookies\n\nShares rose"
+    page = '<article><p>a</p><section id="cookies"><p>b</p></section><div class="adBanner1">c</div><div class="share-buttons">d</div>'
+    assert pages.main_text(page + '<p class="notice">e</p><div id="comments">f</div></article>', set()) == "a\n\nb"
+    page = '<main><article><p>a</p></article><article class="teaser">b</article><article class="comment"><p>c</p></article></main>'
+    assert pages.main_text(page, set()) == "a"
+
+
+def test_articles_lose_what_stands_in_plain_containers_of_their_nearest_page(spark):
+    page = (
+        "<article><h1>Title</h1><div>Read us daily</div><p>Said before</p><div><p>Own {0}</p><div>Note {0}</div></div>"
+        "<section>More stories<ul><li>One</ul></section></article>"
+    )
+    rows = [(k, f"http://h.example/{k:02d}", page.format(k)) for k in range(20)]
+    rows += [(k, f"http://copy.example/{k}", "<article><div>All the same</div></article>") for k in range(20, 22)]
+    found = texts(page_rows(spark, rows))
+    assert [found[k] for k in range(20)] == [f"Title\n\nSaid before\n\nOwn {k}\n\nNote {k}\n\nOne" for k in range(20)]
+    assert found[20] == found[21] == "All the same"
+
+
+def test_common_subsequence_of_large_and_repeated_lines(monkeypatch):
+    n = 50_000
+    assert len(set(pages.common_subsequence([1] * n, [2] + [1] * (n - 1) + [3]))) == n - 1
+    a, b = [k % 2 for k in range(n)], [3, *[(k + 1) % 2 for k in range(n)]]
+    places = pages.common_subsequence(a, b)
+    rest = iter(b)
+    assert len(places) == n - 1 and all(a[k] in rest for k in places)
+    monkeypatch.setattr(pages, "TABLE_BITS", 8)
+    test_common_subsequence_is_longest()
+
+
+def test_very_long_pages(spark):
+    row = "<div>same</div>"
+    long = "".join(f"<p>{k}</p>{row}" for k in range(20_000))
+    rows = [(1, "http://h.example/a", long), (2, "http://h.example/b", row * 20_000 + "<p>end</p>")]
+    found = texts(page_rows(spark, rows))
+    assert found[1] == "\n\n".join(map(str, range(20_000))) and found[2] == "end"
