@@ -13,8 +13,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Large-star and small-star steps in turn: every node hands its neighbours to the smallest of them,
     until only stars are left, after about as many rounds as the logarithm of the longest path. Each
-    step takes a minimum per node, combined before its shuffle, and one join that the adaptive plan can
-    split at a hot node; the links are staged between rounds. Nodes are whole numbers; a link from a
+    step takes a minimum per node, combined before its shuffle and staged, and one join of staged tables, which
+    the adaptive plan can split at a hot node; the links are staged between rounds. Nodes are whole numbers; a link from a
     node to itself, a repeated link and an empty table are allowed.
     """
     pairs = links.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).where("v <> u").distinct()
@@ -23,10 +23,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         # Large star: the larger neighbours of a node link to the smallest node around it.
         both = pairs.select("v", "u").union(pairs.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        around = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+        around = stage(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "least")
         large = both.join(around, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         # Small star: a node and its smaller neighbours link to the smallest of them.
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        large = stage(large, "links")
+        least = stage(large.groupBy("v").agg(F.min("u").alias("m")), "least")
         small = large.join(least, "v")
         small = small.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(
             least.select("v", F.col("m").alias("u"))

@@ -23,7 +23,7 @@ PART_BITS = 64 // PARTS
 
 SHINGLES_AT_ONCE = 1 << 16
 TILE = 512  # rows of a tile
-SMALL = 8  # fingerprints of a cell that is compared side by side with others
+ROWS = 4096  # of neighbouring cells that are tiled together
 PIECES = 1 << 16  # pieces that the fingerprints of one part and count may be cut into
 CELL = 1 << 15  # fingerprints that one task compares with one another at most
 
@@ -89,36 +89,44 @@ class Forest:
                 self.links.append((x, y))
 
 
+def tile_pairs(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First rows of all pairs of tiles that are compared, by the sorted population counts of their rows.
+
+    A pair is skipped when its counts differ by more than the radius.
+    """
+    for a in range(0, len(counts), TILE):
+        top = counts[min(a + TILE, len(counts)) - 1]
+        for b in range(a, len(counts), TILE):
+            if counts[b] - top > RADIUS:
+                break
+            yield a, b
+
+
 def tile_links(values: np.ndarray, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A forest that links all positions whose fingerprints are within the radius of one another.
 
-    The fingerprints are put in order of their population count and cut into tiles. A pair of tiles is
-    skipped when its counts differ by more than the radius; else it is compared whole, by exclusive-or
-    and bit count. With ``sides``, only positions of different sides are compared.
+    The fingerprints are put in order of their population count and cut into tiles; a pair of tiles is
+    compared whole, by exclusive-or and bit count. With ``sides``, only positions of different sides are compared.
     """
     counts = np.bitwise_count(values).astype(np.int64)
     order = np.argsort(counts, kind="stable")
-    v, c = values[order], counts[order]
+    v = values[order]
     s = None if sides is None else sides[order]
     forest = Forest(len(v))
-    for a in range(0, len(v), TILE):
-        rows, top = v[a : a + TILE], c[min(a + TILE, len(v)) - 1]
-        for b in range(a, len(v), TILE):
-            if c[b] - top > RADIUS:
-                break
-            near = np.bitwise_count(rows[:, None] ^ v[b : b + TILE][None, :]) <= RADIUS
-            if s is not None:
-                near &= s[a : a + TILE][:, None] != s[b : b + TILE][None, :]
-            i, j = np.nonzero(near)
-            if a == b:
-                i, j = i[i < j], j[i < j]
-            if len(i):
-                first = np.full(near.shape[1], -1)
-                first[j[::-1]] = i[::-1]  # the first row near each column
-                columns = np.unique(j)
-                forest.add(a + first[columns], b + columns)
-                ties = np.unique(i.astype(np.int64) * TILE + first[j])
-                forest.add(a + ties // TILE, a + ties % TILE)
+    for a, b in tile_pairs(counts[order]):
+        near = np.bitwise_count(v[a : a + TILE, None] ^ v[None, b : b + TILE]) <= RADIUS
+        if s is not None:
+            near &= s[a : a + TILE, None] != s[None, b : b + TILE]
+        i, j = np.nonzero(near)
+        if a == b:
+            i, j = i[i < j], j[i < j]
+        if len(i):
+            first = np.full(near.shape[1], -1)
+            first[j[::-1]] = i[::-1]  # the first row near each column
+            columns = np.unique(j)
+            forest.add(a + first[columns], b + columns)
+            ties = np.unique(i.astype(np.int64) * TILE + first[j])
+            forest.add(a + ties // TILE, a + ties % TILE)
     return [(int(order[x]), int(order[y])) for x, y in forest.links]
 
 
@@ -127,28 +135,21 @@ LINKS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links inside the cells of a sorted range; small cells are compared side by side."""
+    """Links inside the cells of a sorted range.
+
+    Neighbouring cells are tiled together, about ``ROWS`` rows at once: a fingerprint near one of another cell is
+    as good a link. A cell with two sides is tiled alone.
+    """
     left: list[np.ndarray] = []
 
     def links(cell: np.ndarray, fp: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
-        bounds = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]])
-        sizes = np.diff(bounds)
-        small = np.repeat(sizes <= SMALL, sizes)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1])
+        group = np.where(side[starts] == 0, starts // ROWS, -1 - np.arange(len(starts)))
+        bounds = [*starts[np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1])].tolist(), len(cell)]
         a, b = [], []
-        # Small cells: each row against the next one, the one after it, and so on.
-        rows = np.flatnonzero(small)
-        for shift in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
-            rows = rows[rows + shift < len(cell)]
-            rows = rows[cell[rows] == cell[rows + shift]]
-            if not len(rows):
-                break
-            near = np.bitwise_count(fp[rows] ^ fp[rows + shift]) <= RADIUS
-            near &= (side[rows] != side[rows + shift]) | (side[rows] == 0)
-            a.append(fp[rows[near]])
-            b.append(fp[rows[near] + shift])
-        for k in np.flatnonzero(sizes > SMALL):
-            part = slice(bounds[k], bounds[k + 1])
-            found = tile_links(fp[part], None if side[part][0] == 0 else side[part])
+        for begin, end in zip(bounds, bounds[1:]):
+            part = slice(begin, end)
+            found = tile_links(fp[part], None if side[begin] == 0 else side[part])
             if found:
                 x, y = np.array(found).T
                 a.append(fp[part][x])
@@ -176,8 +177,8 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprint_links(distinct: DataFrame, fp: str = "fp") -> DataFrame:
     """Links (``a``, ``b``) that join all distinct fingerprints within the radius of one another.
 
-    Of fingerprints that differ in at most ``RADIUS`` bits, one of ``PARTS`` equal parts is the same, so
-    only fingerprints that share a part meet: a cell. A cell of up to ``CELL`` fingerprints is compared in
+    Of fingerprints that differ in at most ``RADIUS`` bits, one of ``PARTS`` equal parts is the same, so it is
+    enough that those that share a part meet in a pair of tiles: a cell. A cell of up to ``CELL`` fingerprints is compared in
     one task. A larger one is cut by population count and a digest into pieces of about that size, and
     every pair of pieces whose counts are within the radius is a cell of its own, so that no shared
     value makes one large task and no pair is lost. The links of a cell are a forest, not all its pairs.

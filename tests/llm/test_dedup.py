@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 from tests.llm.helpers import components, documents, given, rows_of, with_clashing_columns
@@ -153,6 +154,47 @@ def test_links_of_a_part_that_very_many_share(spark, monkeypatch):
     assert groups_of(spark, values) == groups_by_hand(values)
 
 
+def test_tiles_of_the_given_documents_are_compared_or_skipped(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 16)
+    prints = {fingerprint_by_hand(r.text) for r in given(spark).collect()}
+    prints = sorted(prints | {x ^ (5 << k % 60) for k, x in enumerate(sorted(prints)[:40])})
+    values = np.array(prints, np.uint64)
+    counts = np.sort(np.bitwise_count(values).astype(np.int64))
+    pairs = set(simhash.tile_pairs(counts))
+    starts = range(0, len(values), 16)
+    for a in starts:
+        for b in starts[a // 16 :]:
+            within = (counts[b : b + 16, None] - counts[None, a : a + 16]).min() <= 3
+            assert ((a, b) in pairs) == within
+    assert len(starts) < len(pairs) < len(starts) * (len(starts) + 1) // 2
+    seen = []
+    whole = simhash.tile_pairs
+    monkeypatch.setattr(simhash, "tile_pairs", lambda c: (seen.append(p) or p for p in whole(c)))
+    found = {frozenset((prints[x], prints[y])) for x, y in simhash.tile_links(values)}
+    assert set(seen) == pairs and found and all((x ^ y).bit_count() <= 3 for x, y in map(tuple, found))
+    links = [(x, y) for x in prints for y in prints if x < y and (x ^ y).bit_count() <= 3]
+    assert components(prints, [tuple(f) for f in found]) == components(prints, links)
+
+
+def test_every_cell_goes_through_tiles(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS", 50)
+    monkeypatch.setattr(simhash, "TILE", 16)
+    values = clustered(4, 600)
+    batches = []
+    cells = sorted((v >> (16 * k) & 0xFFFF | k << 16, v) for v in values for k in range(4))
+    for at in range(0, len(cells), 37):
+        part = cells[at : at + 37]
+        batches.append(pa.RecordBatch.from_pydict({
+            "cell": pa.array([c for c, _ in part], pa.int64()),
+            "fp": pa.array(np.array([v for _, v in part], np.uint64).view(np.int64)),
+            "side": pa.array([0] * len(part), pa.int32()),
+        }))
+    found = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for out in simhash._cell_links(iter(batches)) for r in out.to_pylist()]
+    links = [(x, y) for x in values for y in values if x < y and (x ^ y).bit_count() <= 3]
+    assert all((x ^ y).bit_count() <= 3 for x, y in found) and len(found) < 4 * len(links)
+    assert components(values, found) == components(values, links)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200), (200, 201)]
     df = spark.createDataFrame(links, "a long, b long")
