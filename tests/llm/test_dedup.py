@@ -171,7 +171,7 @@ def test_tiles_of_the_given_documents_are_compared_or_skipped(spark, monkeypatch
     whole = simhash.tile_pairs
     monkeypatch.setattr(simhash, "tile_pairs", lambda c: (seen.append(p) or p for p in whole(c)))
     found = {frozenset((prints[x], prints[y])) for x, y in simhash.tile_links(values)}
-    assert set(seen) == pairs and found and all((x ^ y).bit_count() <= 3 for x, y in map(tuple, found))
+    assert set(seen) == pairs and len(found) > 30
     links = [(x, y) for x in prints for y in prints if x < y and (x ^ y).bit_count() <= 3]
     assert components(prints, [tuple(f) for f in found]) == components(prints, links)
 
@@ -191,7 +191,7 @@ def test_every_cell_goes_through_tiles(spark, monkeypatch):
         }))
     found = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for out in simhash._cell_links(iter(batches)) for r in out.to_pylist()]
     links = [(x, y) for x in values for y in values if x < y and (x ^ y).bit_count() <= 3]
-    assert all((x ^ y).bit_count() <= 3 for x, y in found) and len(found) < 4 * len(links)
+    assert len(found) < 4 * len(links)  # forests: they join the same fingerprints, not all by direct links
     assert components(values, found) == components(values, links)
 
 
