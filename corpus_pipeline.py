@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +13,35 @@ from tallyhouse.session import ship_package
 from tallyhouse.sources.staging import stage
 
 
+def _aside(docs: DataFrame, *read: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Documents whose other columns have names that no operator adds, and how they get their own names back."""
+    names = [c if c in read else f"column_{k}" for k, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda df: df.select(*names).toDF(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model does not reject; it is fitted on the labelled ones among them."""
+    """Documents that the severity model does not reject; it is fitted on the labelled ones among them.
+
+    A missing text is empty and stays. Repeated rows are judged alike and stay; all columns keep their values.
+    """
     ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit_toxicity(toxicity.labelled_sample(docs, labels))
-    return toxicity.score_toxicity(docs, model).where("NOT rejected").select(*docs.columns)
+    plain, named = _aside(docs, "doc_id", "text")
+    model = toxicity.fit_toxicity(toxicity.labelled_sample(plain, labels))
+    return named(toxicity.score_toxicity(plain, model).where("NOT rejected"))
 
 
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less the chunks of lines that an earlier one has; their length is counted anew."""
+    """Documents less the chunks of lines that an earlier one has; their length is counted anew.
+
+    Missing texts stay missing and empty ones empty. Rows equal in everything keep the same chunks; all other columns
+    keep their values.
+    """
     ship_package(spark)
-    cleaned = chunks.remove_repeated_chunks(docs)
-    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
+    plain, named = _aside(docs, "doc_id", "text")
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    cleaned = named(chunks.remove_repeated_chunks(plain))
+    return cleaned.select(*[n_chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +57,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and the source bytes of every piece."""
+    """Token ids and the source bytes of every piece; a missing text is empty and has none, repeated rows all come."""
     ship_package(spark)
+    docs = docs.select("doc_id", "lang", "source", "text")
     encoded = pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), drop=("text",))
     return encoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "starts", "ends",
