@@ -95,16 +95,17 @@ def append_columns(
     gone = {x.lower() for x in drop}
     kept = [f for f in df.schema.fields if f.name.lower() not in taken and f.name.lower() not in gone]
     names = [f.name for f in kept]
-    source = df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text}`").alias("__text"))
+    inner = [f"column_{k}" for k in range(len(names))]  # whatever a frame's columns are called, dots included
+    source = df.select(*[F.col(f"`{n}`").alias(x) for n, x in zip(names, inner)], F.col(f"`{text}`").alias("text"))
     kinds = [_arrow(f.dataType) for f in fields]
     labels = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
-                made = compute([x or "" for x in part.column("__text").to_pylist()])
+            for part in slices(batch, "text"):
+                made = compute([x or "" for x in part.column("text").to_pylist()])
                 arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, k) for x, k in zip(made, kinds)]
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + arrays, names + labels)
+                yield pa.RecordBatch.from_arrays([part.column(x) for x in inner] + arrays, names + labels)
 
     return source.mapInArrow(run, T.StructType(kept + fields))
 

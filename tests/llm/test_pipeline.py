@@ -2,8 +2,10 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
+from tallyhouse.llm import simhash
 from tallyhouse.llm.queries import ORACLES, QUERIES
-from tests.llm.helpers import FOLDER, rows_of
+from tests.llm.helpers import FOLDER, documents, rows_of
 from tests.llm.test_dedup import dedup_by_hand, near_by_hand
 from tests.llm.test_pieces import LIBRARY
 
@@ -40,6 +42,28 @@ def test_repeated_chunks_are_removed(steps):
     assert all(r.n_chars == len(r.text) for r in after.collect())
 
 
+def test_stages_keep_the_documents_own_columns(spark, steps):
+    own = {"grade": 77, "rejected": "x", "removed_lines": -5, "__text": "own", "a.b": 1.5}
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.select("*", *[F.lit(v).alias(c) for c, v in own.items()])
+    for k in (0, 1):
+        _, before, after = steps[k]
+        mine = before.select("*", *[F.lit(v).alias(c) for c, v in own.items()])
+        found = corpus_pipeline.STAGES[k][1](spark, mine, FOLDER)
+        assert found.columns == docs.columns
+        rows = rows_of(found)
+        assert all({c: r[c] for c in own} == own for r in rows)
+        assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted((r.doc_id, r.text) for r in after.collect())
+    few = corpus_pipeline.STAGES[4][1](spark, docs.where("doc_id < 20"), FOLDER)
+    assert few.columns == steps[4][2].columns and few.count() == 20
+
+
+def test_operators_keep_columns_named_like_their_own(spark):
+    docs = documents(spark, ["a b c", None, ""]).select("*", F.lit("own").alias("__text"), F.lit(1).alias("a.b"))
+    found = rows_of(simhash.fingerprints(docs))
+    assert all(r["__text"] == "own" and r["a.b"] == 1 for r in found) and len(found) == 3
+
+
 def test_one_document_of_each_group_stays(steps):
     _, before, after = steps[2]
     groups = near_by_hand([(r.doc_id, r.text) for r in before.collect()])
@@ -81,4 +105,4 @@ def test_queries_of_the_entry():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
