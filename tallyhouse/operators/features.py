@@ -11,6 +11,7 @@ from tallyhouse import settings as S
 from tallyhouse.functions.numbers import finite, parse_number, safe_ratio
 from tallyhouse.functions.text import strip
 from tallyhouse.operators.quantiles import quantiles
+from tallyhouse.sources.staging import stage
 
 # Per-customer sums are added up in decimals: the total then depends on neither row order nor
 # partitioning, which a sum of doubles would.
@@ -45,11 +46,16 @@ def customer_stats(amounts: DataFrame) -> DataFrame:
 
     The aggregate combines before its shuffle, so a key with most of the lines is no heavier.
     """
+    return _spending(amounts.groupBy(customer_key().alias("_customer")).agg(*_sums()))
+
+
+def _sums() -> list[Column]:
     amount = F.col("TotalAmount").try_cast(_EXACT)
-    stats = amounts.groupBy(customer_key().alias("_customer")).agg(
-        F.count("TotalAmount").alias("_lines"), F.sum(amount).alias("_spend")
-    )
-    return stats.select(
+    return [F.count("TotalAmount").alias("_lines"), F.sum(amount).alias("_spend")]
+
+
+def _spending(summed: DataFrame) -> DataFrame:
+    return summed.select(
         "_customer",
         F.col("_lines").cast("double").alias("CustomerPurchaseFrequency"),
         F.col("_spend").cast("double").alias("CustomerTotalSpend"),
@@ -64,6 +70,24 @@ def country_stats(lines: DataFrame) -> DataFrame:
     )
 
 
+def staged_stats(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``customer_stats`` and ``country_stats``, staged from one pass over the lines.
+
+    Both groupings share the scan and the shuffle, and are combined before it. The countries are staged once
+    more from there, so that each table has its own known size when the lines are joined.
+    """
+    keyed = line_amounts(lines).select(
+        customer_key().alias("_customer"), country_key().alias("_country"), "InvoiceNo", "TotalAmount"
+    )
+    keys = F.col("_customer"), F.col("_country")
+    grouped = keyed.groupingSets([[k] for k in keys], *keys).agg(*_sums(), F.count("InvoiceNo").alias("_invoices"))
+    both = stage(grouped, "line-stats")  # a key is never missing, so the other grouping's rows are those without it
+    countries = both.where("_customer IS NULL").select(
+        "_country", F.col("_invoices").cast("double").alias("CountryTransactionCount")
+    )
+    return _spending(both.where("_country IS NULL")), stage(countries, "countries")
+
+
 def _join_back(lines: DataFrame, key: Column, stats: DataFrame, stats_key: str, staged: bool) -> DataFrame:
     """Left join per-key statistics to the lines they were computed from.
 
@@ -94,7 +118,15 @@ def line_amounts(lines: DataFrame) -> DataFrame:
 def line_features(
     lines: DataFrame, customers: DataFrame | None = None, countries: DataFrame | None = None
 ) -> DataFrame:
-    """All seven feature columns next to the line's own columns."""
+    """All seven feature columns next to the line's own columns.
+
+    Statistics that are not passed in are staged here, so their measured sizes decide between broadcast and
+    shuffle before any line moves.
+    """
+    if customers is None or countries is None:
+        fresh = staged_stats(lines)
+        customers = fresh[0] if customers is None else customers
+        countries = fresh[1] if countries is None else countries
     return country_feature(customer_features(line_amounts(lines), customers), countries)
 
 

@@ -29,8 +29,7 @@ def score_lines(lines: DataFrame, model_settings: ModelSettings = ModelSettings(
     column before the fit and before scoring; columns without a gap, which one pass counts along with the
     lines, need no median.
     """
-    customers = stage(features.customer_stats(features.line_amounts(lines)), "customers")
-    countries = stage(features.country_stats(lines), "countries")
+    customers, countries = features.staged_stats(lines)
     repeats = stage(quality.repeated_lines(lines), "repeats")
     featured = features.line_features(lines, customers, countries)
     counts = featured.agg(F.count(F.lit(1)).alias("_lines"), *[F.count_if(F.col(c).isNull()).alias(c) for c in S.FEATURES]).first()

@@ -186,3 +186,22 @@ def test_scaling(spark, limit):
     standard = features.standard_scale(df, ["a", "b"]).orderBy("a").collect()
     assert abs(standard[8].a_scaled - 4 / (60 / 9) ** 0.5) < 1e-12
     assert standard[0].b_scaled == 0.0
+
+
+def test_line_features_move_no_line(spark, tmp_path):
+    """Statistics come from one pass; joining them back exchanges none of the lines."""
+    rng = random.Random(8)
+    changes = [{"CustomerID": rng.choice([None, "7", str(rng.randrange(50))]), "Country": rng.choice(["France", " uk", None]),
+                "InvoiceNo": rng.choice([None, str(i)]), "UnitPrice": f"{i % 9}.25"} for i in range(600)]
+    lines(spark, *changes).repartition(4).write.parquet(str(tmp_path / "lines"))
+    df = spark.read.parquet(str(tmp_path / "lines"))
+    featured = features.line_features(df)
+    plan = executed_plan(featured).split("Initial Plan")[0]
+    assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    amounts = features.line_amounts(df)
+    apart = features.line_features(df, stage(features.customer_stats(amounts), "a"), stage(features.country_stats(df), "b"))
+    assert sorted(map(str, featured.collect())) == sorted(map(str, apart.select(*featured.columns).collect()))
+    spend = {}
+    for c in changes:
+        spend[c["CustomerID"]] = spend.get(c["CustomerID"], 0) + 6 * float(c["UnitPrice"])
+    assert all(abs(r.CustomerTotalSpend - spend[r.CustomerID]) < 1e-9 for r in featured.collect())

@@ -238,3 +238,57 @@ def test_strftime_directives(spark):
     assert spark.sql("SELECT strftime('%Y', NULL) IS NULL AND strftime('x%Y', NULL) IS NULL").first()[0]
     with pytest.raises(Exception, match="unknown directive"):
         spark.sql("SELECT strftime('%q', TIMESTAMP'2024-02-29 07:08:09')").collect()
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    names = HEADER.split(",")
+    swapped = ["channel", "note", *names[1:6], "transaction_id", "payment_method", "unit_price"]
+    (tmp_path / "s").mkdir()
+    row = {**{n: n[0] for n in names}, "quantity": "3", "unit_price": "1.25", "note": "x"}
+    (tmp_path / "s" / "a.csv").write_text(",".join(swapped) + "\n" + ",".join(row[n] for n in swapped) + "\n")
+    got = files.ingest_csv(spark, str(tmp_path / "s"))
+    assert got.columns == [*names, "row_seq", "source_file"]
+    r = got.first()
+    assert (r.transaction_id, r.quantity, str(r.unit_price), r.payment_method, r.channel) == ("t", 3, "1.25", "p", "c")
+    assert got.select("channel").first().channel == "c" and got.count() == 1
+    (tmp_path / "s" / "b.csv").write_text(HEADER + "\n" + ",".join(row[n] for n in names) + "\n")
+    with pytest.raises(Exception, match="header"):
+        files.ingest_csv(spark, str(tmp_path / "s")).collect()
+    with pytest.raises(ValueError, match="no column transaction_id"):
+        (tmp_path / "c.csv").write_text(HEADER.replace("transaction_id", "id") + "\n")
+        files.ingest_csv(spark, str(tmp_path / "c.csv"))
+
+
+def test_csv_without_any_line(spark, tmp_path):
+    (tmp_path / "none.csv").write_text("")
+    (tmp_path / "header.csv").write_text(HEADER + "\n")
+    for name in ("none.csv", "header.csv"):
+        assert files.ingest_csv(spark, str(tmp_path / name)).collect() == []
+
+
+def test_csv_with_line_breaks_inside_quotes(spark, tmp_path):
+    rows = ['T1,t,c,p,s,1,1,"two\nlines, ""quoted""",web', "T2,t,c,p,s,2,1,m,shop"]
+    path = write_sales(tmp_path / "s", {"a.csv": rows})
+    a, b = files.ingest_csv(spark, path, multi_line=True).orderBy("row_seq").collect()
+    assert (a.payment_method, a.channel, a.row_seq) == ('two\nlines, "quoted"', "web", 0)
+    assert (b.transaction_id, b.quantity, b.row_seq) == ("T2", 2, 1)
+
+
+def test_more_files_than_the_first_bits_hold_are_numbered(spark, tmp_path):
+    """The listing names 200,000 files before those that hold rows."""
+    parts = {f"{n}.csv": [f"{n}-{i:02d},t,c,p,s,1,1,m,c" for i in range(20)] for n in "abc"}
+    read = spark.read.schema(schemas.SALES_RAW).csv(write_sales(tmp_path / "s", parts), header=True)
+
+    class Listed:
+        def inputFiles(self):
+            return [f"/a/{i:06d}.csv" for i in range(200_000)] + read.inputFiles()
+
+        def __getattr__(self, name):
+            return getattr(read, name)
+
+    rows = lineage.assign_row_seq(Listed())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
+    ordered = [(r.row_seq, r.transaction_id) for r in rows.select("row_seq", "transaction_id").orderBy("row_seq").collect()]
+    assert [t for _, t in ordered] == [f"{n}-{i:02d}" for n in "abc" for i in range(20)]
+    assert len({s for s, _ in ordered}) == 60 and ordered[0][0] > 199_999 << 45
