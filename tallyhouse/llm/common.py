@@ -16,6 +16,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text that an Arrow pass works on at once.
 SLICE_BYTES = 4 << 20
+PASS_BYTES = 1 << 20  # for passes that append columns: words and ids of a slice take a multiple of its bytes
 
 # Totals that one task of the upper level of a running sum adds up.
 BLOCK = 1024
@@ -102,10 +103,12 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PASS_BYTES):
                 made = compute([x or "" for x in part.column("text").to_pylist()])
                 arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, k) for x, k in zip(made, kinds)]
                 yield pa.RecordBatch.from_arrays([part.column(x) for x in inner] + arrays, names + labels)
+        # The worker stays for later passes, of other operators too: what Arrow keeps for itself goes back.
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, T.StructType(kept + fields))
 

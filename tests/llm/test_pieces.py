@@ -120,3 +120,13 @@ def test_cache_is_bounded_by_bytes(monkeypatch):
         text = f"{k}" + "日本語" * 100
         assert list(encoder.encode([text])[0][0]) == LIBRARY.encode(text)
         assert len(encoder.segments) == 1
+
+
+def test_passes_work_on_small_slices(spark):
+    """Words and ids of a slice take a multiple of its bytes, and two workers share an executor with the JVM."""
+    from pyspark.sql import types as T
+    from tallyhouse.llm.common import append_columns
+
+    df = documents(spark, ["x" * 300_000] * 24).coalesce(1)
+    held = append_columns(df, "text", [T.StructField("held", T.LongType())], lambda texts: [[sum(map(len, texts))] * len(texts)])
+    assert [r.held for r in held.select("held").collect()] == [900_000] * 24
