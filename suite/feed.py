@@ -18,6 +18,8 @@ PRODUCT_ORDER = ("feed_seq",)
 STORE_ORDER = ("store_id",)
 INVENTORY_ORDER = ("last_restock_date",)
 
+ROWS_PER_TASK = 500_000  # order lines that one task gets, about
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -27,13 +29,28 @@ def read_lines(spark: SparkSession, sf_dir: str, *columns: str | Column) -> Data
     """Order lines, pruned to some columns.
 
     The given table may be one file that only one task can scan. Where it has fewer files than the
-    session has cores, the rows are spread by order; a table of many files is left as it is.
+    session has cores, the rows are spread by order; a table of many files is left as it is. The tasks grow
+    with the rows (which the footers tell): joins and sorts after this keep the dealing, so that a fixed number
+    of tasks would have each of them sort ever more.
     """
     lines = read(spark, sf_dir, "lineitem")
     cores = spark.sparkContext.defaultParallelism
     few_files = len(lines.inputFiles()) < cores
-    lines = lines.select(*columns)
-    return lines.repartition(cores, "l_orderkey") if few_files else lines
+    chosen = lines.select(*columns)
+    return chosen.repartition(line_tasks(lines), "l_orderkey") if few_files else chosen
+
+
+def line_tasks(lines: DataFrame) -> int:
+    """Tasks for the order lines: one for each core at least, and more with more rows."""
+    return max(lines.sparkSession.sparkContext.defaultParallelism, -(-lines.count() // ROWS_PER_TASK))
+
+
+def sales_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales dealt by their key, for the deduplication, in tasks that grow with the rows.
+
+    Merged by their bytes or dealt to a fixed number of tasks, each would sort and count ever more of them.
+    """
+    return bronze_sales(spark, sf_dir).repartition(line_tasks(read(spark, sf_dir, "lineitem")), "transaction_id")
 
 
 def _cents(value: Column) -> Column:

@@ -34,6 +34,7 @@ class Layers(Mapping[str, DataFrame]):
             self._builders[name] = lambda build=build: build(spark, sf_dir)
         for name, (source, clean) in cleansing.SILVER_BUILDERS.items():
             self._builders[name] = lambda n=name, s=source, c=clean: c(self[s], _ORDERS[n])
+        self._builders["silver_sales"] = lambda: cleansing.silver_sales(feed.sales_by_key(spark, sf_dir), feed.SALES_ORDER)
         for name, build in star.GOLD_BUILDERS.items():
             self._builders[name] = lambda build=build: build(self, SCALED_RFM)
 
