@@ -150,16 +150,30 @@ class ForestModel:
         return cls(nodes.toPandas(), columns)
 
     def path_sums(self, points: np.ndarray) -> np.ndarray:
-        """Sum over the trees of each row's path length, in billionths (an exact integer)."""
-        total = np.zeros(len(points), dtype=np.int64)
-        flat = np.ascontiguousarray(points).ravel()
-        first = np.arange(len(points)) * points.shape[1]
+        """Sum over the trees of each row's path length, in billionths (an exact integer).
+
+        All steps write into the same arrays, and the first one, which all rows take from the root, needs no
+        look-ups. Places are always inside the tables, so that ``clip`` only leaves out their check.
+        """
+        n = len(points)
+        total, node, other = (np.zeros(n, dtype=np.int64) for _ in range(3))
+        value, bound, right = np.empty(n), np.empty(n), np.empty(n, dtype=bool)
+        flat = np.ascontiguousarray(points, dtype=np.float64).ravel()
+        columns = np.ascontiguousarray(np.asarray(points, dtype=np.float64).T)
+        first = np.arange(n) * points.shape[1]
         for feature, split, left, path in zip(self.feature, self.split, self.left, self.path):
-            node = np.zeros(len(points), dtype=np.int64)
-            for _ in range(self.height):
-                value = flat.take(first + feature.take(node))
-                node = left.take(node) + (value > split.take(node))
-            total += path.take(node)
+            np.greater(columns[feature[0]], split[0], out=right)
+            np.add(right, left[0], out=node)
+            for _ in range(self.height - 1):
+                np.take(feature, node, out=other, mode="clip")
+                np.add(other, first, out=other)
+                np.take(flat, other, out=value, mode="clip")
+                np.take(split, node, out=bound, mode="clip")
+                np.greater(value, bound, out=right)
+                np.take(left, node, out=other, mode="clip")
+                np.add(other, right, out=node)
+            np.take(path, node, out=other, mode="clip")
+            total += other
         return total
 
 
