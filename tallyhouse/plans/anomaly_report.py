@@ -26,14 +26,18 @@ def score_lines(lines: DataFrame, model_settings: ModelSettings = ModelSettings(
     The statistics that are joined back to the lines are staged first: fitting and scoring share them,
     and their known sizes decide between broadcast and shuffle before any line moves. Fitting reads a
     sample only, as the sampling filter sits below the joins. Missing features get the median of their
-    column before the fit and before scoring; columns without a gap, which one pass counts along with the
-    lines, need no median.
+    column before the fit and before scoring; columns without a gap need no median. The staged customers tell
+    the number of lines, and whether there is a gap: quantities, prices and counts are never missing, and a
+    customer's spend and mean only where no amount of theirs can be added up.
     """
     customers, countries = features.staged_stats(lines)
     repeats = stage(quality.repeated_lines(lines), "repeats")
     featured = features.line_features(lines, customers, countries)
-    counts = featured.agg(F.count(F.lit(1)).alias("_lines"), *[F.count_if(F.col(c).isNull()).alias(c) for c in S.FEATURES]).first()
-    gaps = [c for c in S.FEATURES if counts[c]]
+    n_rows = F.sum(F.col("CustomerPurchaseFrequency").cast("bigint"))
+    counts = customers.agg(
+        F.coalesce(n_rows, F.lit(0)).alias("_lines"), *[F.count_if(F.col(c).isNull()).alias(c) for c in features.CUSTOMER_FEATURES]
+    ).first()
+    gaps = [c for c in features.CUSTOMER_FEATURES if counts[c]]
     values = features.medians(stage(featured.select(*gaps), "gaps"), gaps) if gaps else {}
     nodes = forest.fit_isolation_forest(
         features.fill_missing(featured, values),

@@ -205,3 +205,50 @@ def test_line_features_move_no_line(spark, tmp_path):
     for c in changes:
         spend[c["CustomerID"]] = spend.get(c["CustomerID"], 0) + 6 * float(c["UnitPrice"])
     assert all(abs(r.CustomerTotalSpend - spend[r.CustomerID]) < 1e-9 for r in featured.collect())
+
+
+def test_dates_are_read_as_by_every_layout(spark):
+    """The marks of a layout leave out only texts that do not fit it; a text without marks costs no exception."""
+    from tallyhouse.functions import rules
+
+    texts = ["2010-12-01 08:26:00", "12/1/2010 8:26", "12/31/2010", "2010/1/2 3:04:05", "13/13/2010", "1-Dec-2010", "01-dec-2010 9:05",
+             "1-12-2010", "Dec 1, 2010", "dec 31, 2010 10:00", "20101201", "+20101201", "-20101201", "20101301", "2010120", "x20101201",
+             "2024-99-99 25:99:99", "INVALID_TIMESTAMP", "", " ", "/", "-", ",", "1", "2010-12", " 20101201", "1/2/10"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t STRING")
+    every = F.coalesce(F.col("t").try_cast("timestamp"), *[F.try_to_timestamp("t", F.lit(x)) for x in rules.DATE_LAYOUTS])
+    rows = df.select("t", rules.parse_date(F.col("t")).cast("string").alias("a"), every.cast("string").alias("b")).collect()
+    assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
+    assert sum(r.a is not None for r in rows) >= 11
+
+
+def test_report_reads_the_lines_no_more_often_than_it_must(spark):
+    """Statistics, repeats, sample and scores; the staged customers tell the number of lines and the gaps."""
+    from tallyhouse.plans import anomaly_report
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    some = lines(spark, *[{"Quantity": str(k), "CustomerID": str(k % 7), "Country": f" C{k % 3} "} for k in range(40)]).coalesce(1)
+    scored = anomaly_report.score_lines(some.mapInPandas(count, some.schema), anomaly_report.ModelSettings(n_estimators=3))
+    assert scored.count() == 40 and scored.where("CountryTransactionCount BETWEEN 13 AND 14").count() == 40
+    seen.value = 0
+    stored = stage(anomaly_report.score_lines(some.mapInPandas(count, some.schema), anomaly_report.ModelSettings(n_estimators=3)), "scored")
+    assert stored.count() == 40 and seen.value == 160
+
+
+def test_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
+    from suite import feed, layers, sheets
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(feed, "ROWS_PER_TASK", 500)
+    n = -(-feed.read(spark, folder, "lineitem").count() // 500)
+    assert feed.read_lines(spark, folder, "l_orderkey").rdd.getNumPartitions() == n
+    assert layers.Layers(spark, folder)["silver_sales"].rdd.getNumPartitions() == n
+    monkeypatch.setattr(sheets, "ROWS_PER_TASK", 10)
+    parts = spark.range(200).withColumn("x", F.lit("y"))
+    books = sheets.as_workbooks(parts, "S", F.floor(F.col("id") / 5), ["id"])
+    assert books.rdd.getNumPartitions() == 20 and books.count() == 40
