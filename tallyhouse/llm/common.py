@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,14 +39,18 @@ class Recent:
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
-    def missing(self, wanted: set[bytes]) -> list[bytes]:
-        """Those not known; all others are in ``young`` after this, until the next call."""
+    def missing(self, wanted: Collection[bytes]) -> list[bytes]:
+        """Those not known, of distinct ones; all others are in ``young`` after this, until the next call."""
         if self.size > self.bound // 2 or len(self.young) > self.most // 2:
             self.young, self.old, self.size = {}, self.young if self.size <= self.bound else {}, 0
-        new = wanted - self.young.keys()
-        for key in new & self.old.keys():
-            self.put(key, self.old[key])
-        return list(new - self.old.keys())
+        young, old = self.young, self.old
+        new = [key for key in wanted if key not in young]
+        if not old:
+            return new
+        for key in new:
+            if key in old:
+                self.put(key, old[key])
+        return [key for key in new if key not in young]
 
     def __len__(self) -> int:
         return len(self.young) + len(self.old)
@@ -55,6 +59,10 @@ class Recent:
         self.young[key] = value
         self.size += ENTRY_BYTES + len(key) + (len(value) if isinstance(value, bytes) else sum(map(len, value)))
 
+    def put_all(self, keys: list[bytes], values: list[bytes]) -> None:
+        self.young.update(zip(keys, values, strict=True))
+        self.size += ENTRY_BYTES * len(keys) + sum(map(len, keys)) + sum(map(len, values))
+
 
 def text_of(name: str = "text") -> Column:
     """The text, where missing counts as empty."""

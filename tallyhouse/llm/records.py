@@ -12,6 +12,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,21 @@ CACHED_BYTES = 256 << 20  # of known words, and a quarter of it of their parts,
 
 # Fixed value: how the given tokenizer cuts words into parts before it looks for pairs.
 CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# The steps of the given tokenizer before it cuts, and after.
+FORMS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+BYTES = [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 # Latin letters beyond ASCII, U+00C0 to U+024F in UTF-8, without the two signs among them and the capital I with a
 # dot, whose lower-case form has two characters.
 LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f]"
-# Words of these letters and printable ASCII without an apostrophe, and their parts where a tokenizer cuts like this.
-PLAIN = re.compile(rb"(?:[!-&(-~]|" + LATIN + rb")+")
-PARTS = re.compile(rb"(?:[a-z]|" + LATIN + rb")+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+# Kinds of bytes in words. Those of letters, digits and marks make up the plain words: printable ASCII without an
+# apostrophe and the letters above. Where a tokenizer cuts as above, the parts of a plain word are its runs of one
+# kind, and its single digits.
+OTHER, SPACE, LETTER, DIGIT, MARK = range(5)
+CLASSES = {SPACE: rb"[ \t-\r]", LETTER: rb"[A-Za-z]", DIGIT: rb"[0-9]", MARK: rb"[!-&(-/:-@\[-`{-~]"}
+KINDS = bytes(next((k for k, c in CLASSES.items() if re.match(c, bytes([b]))), OTHER) for b in range(256))
+SPACED = bytes(SPACE if k == SPACE else OTHER for k in KINDS)
+LEADS = np.array([0xC3 <= b <= 0xC9 for b in range(256)])
+LATIN_PAIR = np.array([[bool(re.fullmatch(LATIN, bytes([a, b]))) for b in range(256)] for a in range(256)])
 
 INDEX_SCHEMA = (
     "doc_id long, part long, ordinal long, file string, offset long, length long, tokens_before long, n_tokens long"
@@ -101,18 +111,55 @@ def masked(crc: np.ndarray) -> np.ndarray:
     return (((crc >> np.uint32(15)) | (crc << np.uint32(17))) + np.uint32(MASK_DELTA)).astype(np.uint32)
 
 
+def kinds_of(data: bytes) -> np.ndarray:
+    """The kind of each byte of UTF-8 text that ends with a white space."""
+    kinds, values = np.frombuffer(bytearray(data.translate(KINDS)), np.uint8), np.frombuffer(data, np.uint8)
+    lead = np.flatnonzero(LEADS[values])
+    lead = lead[LATIN_PAIR[values[lead], values[lead + 1]]]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    return kinds
+
+
+def strings(values: pa.Array) -> list[bytes]:
+    """The values of a large_binary array (an object of Arrow's for each would take longer than the words do)."""
+    raw = (values.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    bounds = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1].tolist()
+    return [raw[b:e] for b, e in zip(bounds, bounds[1:])]
+
+
+def runs_of(data: bytes, kinds: np.ndarray) -> tuple[np.ndarray, pa.Array, list[bytes]]:
+    """Where runs of one kind and single digits begin, their numbers, and the distinct runs; white space is left out."""
+    cut = kinds == DIGIT
+    cut[1:] |= kinds[1:] != kinds[:-1]
+    cut[0] = True
+    begins = np.flatnonzero(cut)
+    bounds = pa.py_buffer(np.append(begins, len(data)))
+    runs = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, bounds, pa.py_buffer(data)])
+    kept = kinds[begins] != SPACE
+    runs = runs.filter(pa.array(kept)).dictionary_encode()
+    return begins[kept], runs.indices, strings(runs.dictionary)
+
+
+def joined(ids: list[bytes], numbers: pa.Array, begins: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The ids of runs, joined for each stretch of text up to the next of the ``ends``."""
+    values = pa.array(ids, pa.large_binary()).take(numbers)
+    raw = (values.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    cuts = np.frombuffer(values.buffers()[1], np.int64)[np.searchsorted(begins, ends)].tolist()
+    return [raw[b:e] for b, e in zip([0, *cuts], cuts)]
+
+
 class WordEncoder:
     """Ids of texts from a tokenizer file, equal to the library's encoding of the whole text.
 
     Where the tokenizer drops white space and so never joins words, each distinct word is encoded
     once and its ids are kept (the last used, up to ``CACHED_WORDS`` and ``CACHED_BYTES``). Where it lower-cases and
     cuts words in the known way, a new word of plain characters is put together from its parts: those are far fewer,
-    since marks around a word make no other part. Other tokenizers, and texts that hold a special token, are
-    encoded whole.
+    since marks around a word make no other part. Words and parts are cut and numbered in Arrow, so that Python looks
+    up each distinct one once a slice. Other tokenizers, and texts that hold a special token, are encoded whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             plan = json.load(f)
@@ -128,6 +175,14 @@ class WordEncoder:
         self.by_word = bool(self.special and collapses and drops)
         lowers = any(n.get("type") == "Lowercase" for n in (plan.get("normalizer") or {}).get("normalizers", []))
         self.by_part = self.by_word and lowers and first.get("pattern") == {"Regex": CUT}
+        self.merger = self.tokenizer
+        if self.by_part and plan["normalizer"]["normalizers"] == FORMS and plan["pre_tokenizer"]["pretokenizers"][1:] == BYTES:
+            # Parts are in the composed form, without white space, and cut: of the steps around the model two are left.
+            self.merger = Tokenizer(self.tokenizer.model)
+            self.merger.normalizer = normalizers.Lowercase()
+            self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
         self.words, self.parts = Recent(CACHED_BYTES, CACHED_WORDS), Recent(CACHED_BYTES // 4, CACHED_WORDS)
         suffix = plan["model"].get("end_of_word_suffix") or "\0"
         names = self.tokenizer.get_vocab()
@@ -157,34 +212,45 @@ class WordEncoder:
         size = self.dtype.itemsize
         for a in range(0, len(parts), 512):
             some = parts[a : a + 512]
-            found = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            found = self.merger.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
             ids = np.array(found, self.dtype)
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * size
             if len(cuts) != len(some):
                 self._ask(some, self.parts)
                 continue
-            raw = ids.tobytes()
-            for w, b, e in zip(some, [0, *cuts.tolist()], cuts.tolist()):
-                self.parts.put(w, raw[b:e])
+            raw, bounds = ids.tobytes(), [0, *cuts.tolist()]
+            self.parts.put_all(some, [raw[b:e] for b, e in zip(bounds, bounds[1:])])
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if PLAIN.fullmatch(w)] if self.by_part else []
-        self._ask(list(set(words).difference(plain)), self.words)
-        parts = [PARTS.findall(w) for w in plain]
-        self._ask_parts(self.parts.missing(set().union(*parts)))
-        get = self.parts.young.__getitem__
-        for w, p in zip(plain, parts):
-            self.words.put(w, b"".join(map(get, p)))
+        if not (self.by_part and words):
+            return self._ask(words, self.words)
+        data = b"\n".join([*words, b""])
+        kinds = kinds_of(data)
+        sizes = np.array([len(w) + 1 for w in words])
+        ends = np.cumsum(sizes)
+        odd = np.logical_or.reduceat(kinds == OTHER, ends - sizes)
+        kinds[np.repeat(odd, sizes)] = SPACE
+        begins, numbers, parts = runs_of(data, kinds)
+        self._ask_parts(self.parts.missing(parts))
+        ids = list(map(self.parts.young.__getitem__, parts))
+        found = joined(ids, numbers, begins, ends)
+        self.words.put_all(list(compress(words, ~odd)), list(compress(found, ~odd)))
+        self._ask(list(compress(words, odd)), self.words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as packed whole numbers."""
+        if not texts:
+            return []
         raw = [t.encode() for t in texts]
         low = [r.lower() for r in raw] if self.by_part else raw
         whole = [not self.by_word or any(s in r or s in x for s in self.special) for r, x in zip(raw, low)]
-        split = [[] if w else x.split() for x, w in zip(low, whole)]
-        self._learn(self.words.missing(set().union(*split)))
-        get = self.words.young.__getitem__
-        return [self._whole(t) if w else b"".join(map(get, s)) for t, w, s in zip(texts, whole, split)]
+        split = [b"" if w else x for x, w in zip(low, whole)]
+        data = b"\n".join([*split, b""])
+        begins, numbers, words = runs_of(data, np.frombuffer(data.translate(SPACED), np.uint8))
+        self._learn(self.words.missing(words))
+        ids = list(map(self.words.young.__getitem__, words))
+        found = joined(ids, numbers, begins, np.cumsum([len(x) + 1 for x in split]))
+        return [self._whole(t) if w else x for t, w, x in zip(texts, whole, found)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
