@@ -163,3 +163,11 @@ def test_feed_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
     assert [r.timestamp for r in numbered] == sorted(r.timestamp for r in numbered)
     customers = files.ingest_json(spark, people, schemas.CUSTOMERS_RAW, array_file=False)
     assert customers.count() == feed.bronze_customers(spark, str(tmp_path)).count() == 93
+
+
+def test_months_are_written_in_order(spark, tmp_path):
+    mixed = spark.range(5000).select((F.col("id") % 3).alias("month"), (F.col("id") * 7919 % 5003).alias("k"), "id").repartition(4)
+    tables.write_layer(mixed, str(tmp_path), "silver_a", partition_by="month", order=("k",))
+    written = glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)
+    found = [pq.ParquetFile(f).read().column("k").to_pylist() for f in written]
+    assert sum(map(len, found)) == 5000 and all(k == sorted(k) for k in found)
